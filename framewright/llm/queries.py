@@ -4,13 +4,22 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import packing, token_counts, token_files
+from . import decontaminate, packing, quality_classifier, quality_rules, token_counts, token_files, toxicity
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op2_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality_classifier.quality(spark, _table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
+
+
+def op4_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = decontaminate.find_passages(spark, _table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
+    return found.select("doc_id", "n_words", "n_hit", "n_items", "items_sha256", "contaminated")
+
+
 def op5_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts.context_totals(token_counts.length_histogram(_table(spark, sf_dir, "documents")))
 
@@ -23,5 +32,14 @@ def op8_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(spark, _table(spark, sf_dir, "documents"))
 
 
-QUERIES = {f.__name__: f for f in (op5_token_counts, op6_token_files, op8_best_fit_packing)}
+def op9_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity.toxicity(spark, _table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
+
+
+def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    book = quality_rules.verdicts(quality_rules.ledger(_table(spark, sf_dir, "documents")))
+    return book.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept", "n_lines", "n_upper", "failures")
+
+
+QUERIES = {f.__name__: f for f in (op2_quality_classifier, op4_decontamination, op5_token_counts, op6_token_files, op8_best_fit_packing, op9_toxicity, op10_quality_rules)}
 ORACLES: dict[str, str] = {}
