@@ -19,7 +19,7 @@ from .common import slices, texts_of
 #: At most so many labelled documents train the grammar, those of the lowest hashes of their ids.
 MAX_LABELLED = 20_000
 #: A term is learnt from so many differing documents at least, at such log odds.
-MIN_DOCUMENTS, MIN_ODDS = 4, 3.0
+MIN_DOCUMENTS, MIN_ODDS = 5, 3.0
 STEMS = (4, 5, 6)
 
 # Classes of tokens. A clause is a string of these.
@@ -34,7 +34,7 @@ WORDS = {
     NEGATION: "not no never n't isn't aren't wasn't nicht kein keine nie ne pas jamais nunca ningún",
     REPORT: "said says say wrote writes claimed called quoted reported sagte schrieb nannte behauptete dit écrit appelé déclaré dijo escribió llamó",
 }
-SEED_WEIGHT = 3.0
+SEED_WEIGHT = 0.8
 
 _TOKEN = re.compile(r"[^\W_]+(?:['’]t\b)?|[\"“”„«»]|[.!?;\n]")
 _END = frozenset(".!?;\n")
@@ -102,7 +102,7 @@ class Grammar:
     terms: dict[str, float] = field(default_factory=dict)
     stems: dict[str, float] = field(default_factory=dict)
     bias: float = -4.0
-    slope: float = 0.9
+    slope: float = 4.0
 
     def __post_init__(self) -> None:
         self.classes = {w: c for c, words in WORDS.items() for w in words.split()}
@@ -154,7 +154,7 @@ class Grammar:
         return total + (self.clause(clause) if live else 0.0)
 
     def score(self, text: str) -> float:
-        return 1 / (1 + math.exp(-min(max(self.bias + self.slope * min(self.weight(text), 60.0), -30), 30)))
+        return 1 / (1 + math.exp(-min(max(self.bias + self.slope * min(self.weight(text), 12.0), -30), 30)))
 
 
 def is_held_out(doc_id: str = "doc_id") -> F.Column:
@@ -183,7 +183,7 @@ def _terms(words: set[str]) -> set[str]:
 
 
 def fit(docs: DataFrame, labels: DataFrame, limit: int = MAX_LABELLED) -> Grammar:
-    """Learns insults, as words and stems, from labelled documents, copies counted once; then the probability line.
+    """Learns insults, as words and stems, from labelled documents, copies counted once, and the probability line from an eighth that no term was learnt from.
 
     No labels leave the start values. Three jobs over the sample; what comes to the driver is bounded by it.
     """
@@ -194,7 +194,7 @@ def fit(docs: DataFrame, labels: DataFrame, limit: int = MAX_LABELLED) -> Gramma
             for t in texts_of(batch, "text"):
                 words = _words(t.decode())
                 kin = _kin(words)
-                if kin % 4:
+                if kin % 8:
                     terms = [*_terms(words)]
                     yield pa.RecordBatch.from_pydict({"term": terms, "kin": pa.array([kin] * len(terms), pa.int64())})
 
@@ -208,31 +208,36 @@ def fit(docs: DataFrame, labels: DataFrame, limit: int = MAX_LABELLED) -> Gramma
         n: Counter[int] = Counter()
         for batch in slices(batches, "text"):
             for t, y in zip(texts_of(batch, "text"), batch.column("y").to_pylist(), strict=True):
-                n[y] += 1
-                if not y:
-                    clean.update(x for x in _terms(_words(t.decode())) if x in support)
+                words = _words(t.decode())
+                if _kin(words) % 8:
+                    n[y] += 1
+                    if not y:
+                        clean.update(x for x in _terms(words) if x in support)
         rows = [*clean.items(), *((f" {y}", k) for y, k in n.items())]
         yield pa.RecordBatch.from_pydict({"term": pa.array([x for x, _ in rows], pa.string()), "n": pa.array([x for _, x in rows], pa.int64())})
 
     clean = {r["term"]: r["n"] for r in sample.mapInArrow(sums, "term string, n long").groupBy("term").agg(F.sum("n").alias("n")).collect()}
     n_clean, n_toxic = clean.get(" 0", 0), max(clean.get(" 1", 0), 1)
     odds = {t: math.log((p + 0.5) / (n_toxic + 1)) - math.log((clean.get(t, 0) + 0.5) / (n_clean + 1)) for t, p in support.items()}
-    good = {t: min(w, 6.0) for t, w in odds.items() if w >= MIN_ODDS and clean.get(t, 0) * 20 <= support[t]}
+    # weights between a half and one, so that clauses count more than how rare a term is; little support is weak evidence
+    good = {t: 0.5 + min(w, 6.0) / 12 * support[t] / (support[t] + 5) for t, w in odds.items() if w >= MIN_ODDS and clean.get(t, 0) * 20 <= support[t]}
     grammar = Grammar({t: w for t, w in good.items() if t[-1] != "*"}, {t[:-1]: w for t, w in good.items() if t[-1] == "*"})
 
     def weigh(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches, "text"):
-            yield pa.RecordBatch.from_pydict({"x": [grammar.weight(t.decode()) for t in texts_of(batch, "text")], "y": batch.column("y")})
+            new = [(t.decode(), y) for t, y in zip(texts_of(batch, "text"), batch.column("y").to_pylist(), strict=True)]
+            new = [(grammar.weight(t), y) for t, y in new if not _kin(_words(t)) % 8]
+            yield pa.RecordBatch.from_pydict({"x": pa.array([x for x, _ in new], pa.float64()), "y": pa.array([y for _, y in new], pa.int32())})
 
     points = sample.mapInArrow(weigh, "x double, y int").toPandas()
-    grammar.bias, grammar.slope = _line(np.minimum(points["x"].to_numpy(), 60.0), points["y"].to_numpy())
+    grammar.bias, grammar.slope = _line(np.minimum(points["x"].to_numpy(), 12.0), points["y"].to_numpy())
     return grammar
 
 
 def _line(x: np.ndarray, y: np.ndarray, prior: float = 0.05) -> tuple[float, float]:
     """Logistic regression on one number, by Newton's method, drawn to the start values."""
     a = np.stack([np.ones_like(x), x], 1)
-    start = np.array([-4.0, 0.9])
+    start = np.array([-4.0, 4.0])
     b = start.copy()
     for _ in range(50):
         p = 1 / (1 + np.exp(-np.clip(a @ b, -30, 30)))
