@@ -234,7 +234,7 @@ def fit(docs: DataFrame, labels: DataFrame, limit: int = MAX_LABELLED) -> Gramma
     return grammar
 
 
-def _line(x: np.ndarray, y: np.ndarray, prior: float = 0.05) -> tuple[float, float]:
+def _line(x: np.ndarray, y: np.ndarray, prior: float = 3.0) -> tuple[float, float]:
     """Logistic regression on one number, by Newton's method, drawn to the start values."""
     a = np.stack([np.ones_like(x), x], 1)
     start = np.array([-4.0, 4.0])
