@@ -7,17 +7,31 @@ import os
 import re
 
 import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
+import regex
 from pyspark.sql import SparkSession
 
 #: A file that public_tokenizers.path() finds, or a full path.
 TOKENIZER = "byte_bpe_50k.json"
 #: Chunks kept in a worker's cache; it starts anew beyond that.
-CACHE_CHUNKS = 400_000
+CACHE_CHUNKS = 500_000
+#: Pieces that the library encodes in one call.
+CALL = 512
 
 # A space before a character that isn't white space starts a new piece of the byte-level pattern whatever
 # stands before it, so the ids of a text are those of the chunks between such places.
 _CUT = re.compile(r"(?= \S)")
-_ODD = re.compile(r" (?=\s|\Z)")
+_ODD = r" (?:\s|$)"
+#: Fixed value: the pattern that byte-level BPE cuts text with.
+_PIECE = regex.compile(r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+")
+
+
+def byte_alphabet() -> dict[int, str]:
+    """The character that stands for each byte: itself where it can be seen, else one from 256 on."""
+    seen = [*range(33, 127), *range(161, 173), *range(174, 256)]
+    other = [b for b in range(256) if b not in seen]
+    return {b: chr(b) for b in seen} | {b: chr(256 + k) for k, b in enumerate(other)}
 
 
 class ChunkEncoder:
@@ -25,44 +39,72 @@ class ChunkEncoder:
 
     def __init__(self, path: str) -> None:
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
-        from tokenizers import Tokenizer
+        from tokenizers import Tokenizer, pre_tokenizers
 
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.encode_special_tokens = True
+        # pieces are cut and spelt in the byte alphabet here, each once; in it, a line feed is no letter
+        self.tokenizer.pre_tokenizer = pre_tokenizers.Split("\n", "removed")
         vocabulary = self.tokenizer.get_vocab(with_added_tokens=True)
         self.dtype = np.dtype("<u2" if max(vocabulary.values()) < 1 << 16 else "<u4")
         self.size = np.zeros(max(vocabulary.values()) + 1, np.int64)
-        for token, i in vocabulary.items():  # in the byte-level alphabet a character stands for a byte
+        for token, i in vocabulary.items():
             self.size[i] = len(token)
-        self.cache: dict[str, bytes] = {}
+        self.alphabet = str.maketrans({chr(b): c for b, c in byte_alphabet().items()})
+        self.cache: dict[str, bytes] = {"": b""}
+
+    def _learn_pieces(self, pieces: list[str]) -> None:
+        k = self.dtype.itemsize
+        for i in range(0, len(pieces), CALL):
+            some = pieces[i : i + CALL]
+            spelt = [p.encode().decode("latin-1").translate(self.alphabet) for p in some]
+            ids = np.array(self.tokenizer.encode_batch_fast(["\n".join(spelt)], add_special_tokens=False)[0].ids, self.dtype)
+            ends = k * (np.searchsorted(np.cumsum(self.size[ids]), np.cumsum([len(s) for s in spelt]), side="left") + 1)
+            raw, at = ids.tobytes(), 0
+            for p, end in zip(some, ends.tolist(), strict=True):
+                self.cache[p] = raw[at:end]
+                at = end
 
     def _learn(self, chunks: list[str]) -> None:
-        first = [c for c in chunks if c[:1] != " " or c[1:2].isspace() or c == " "]
-        rest = [c for c in chunks if not (c[:1] != " " or c[1:2].isspace() or c == " ")]
-        for c, e in zip(first, self.tokenizer.encode_batch_fast(first, add_special_tokens=False), strict=True):
-            self.cache[c] = np.array(e.ids, self.dtype).tobytes()
-        for i in range(0, len(rest), 4096):
-            some = rest[i : i + 4096]
-            ids = np.array(self.tokenizer.encode_batch_fast(["".join(some)], add_special_tokens=False)[0].ids, self.dtype)
-            ends = np.searchsorted(np.cumsum(self.size[ids]), np.cumsum([len(c.encode()) for c in some]), side="left") + 1
-            raw, k, at = ids.tobytes(), self.dtype.itemsize, 0
-            for c, end in zip(some, ends.tolist(), strict=True):
-                self.cache[c] = raw[at * k : end * k]
-                at = end
+        cut = {c: _PIECE.findall(c) for c in chunks if not (c[0] == " " and c[1:].isalpha())}
+        cache = self.cache
+        self._learn_pieces([*{p for p in (*(c for c in chunks if c not in cut), *(p for ps in cut.values() for p in ps)) if p not in cache}])
+        for c, ps in cut.items():
+            cache[c] = b"".join(cache[p] for p in ps)
 
     def __call__(self, texts: list[str]) -> list[np.ndarray]:
-        parts = []
-        for t in texts:
-            if "\x00" in t or _ODD.search(t):
-                parts.append(_CUT.split(t) if t else [])
-            else:
-                parts.append(t.replace(" ", "\x00 ").split("\x00") if t else [])
-        wanted = set().union(*parts)
+        """The ids of each text, as views of one array."""
+        column = pa.array(texts, pa.large_string())
+        odd = np.flatnonzero(pc.match_substring_regex(column, _ODD).to_numpy(zero_copy_only=False))
+        split = pc.split_pattern(column, " ")
+        offsets = split.offsets.to_numpy()
+        coded = split.flatten().dictionary_encode()
+        code, words = coded.indices.to_numpy().astype(np.int64), coded.dictionary.to_pylist()
+        # the first fragment of a text has no space before it: it is a chunk of its own
+        first, at = offsets[:-1], len(words)
+        heads = dict.fromkeys(words[k] for k in code[first].tolist())
+        place = {w: at + k for k, w in enumerate(heads)}
+        code = code.copy()
+        code[first] = [place[words[k]] for k in code[first].tolist()]
+        chunks = [" " + w for w in words] + [*heads]
+        parts = {}
+        for i in odd.tolist():
+            parts[i] = _CUT.split(texts[i])
         if len(self.cache) > CACHE_CHUNKS:
-            self.cache.clear()
-        self._learn([c for c in wanted if c not in self.cache])
-        get = self.cache.__getitem__
-        return [np.frombuffer(b"".join(map(get, p)), self.dtype) for p in parts]
+            self.cache = {"": b""}
+        cache = self.cache
+        self._learn([c for c in {*chunks, *(c for p in parts.values() for c in p)} if c not in cache])
+        spelt = [cache[c] for c in chunks]
+        size = np.fromiter(map(len, spelt), np.int64, len(spelt)) // self.dtype.itemsize
+        flat, start = np.frombuffer(b"".join(spelt), self.dtype), np.cumsum(size) - size
+        n = size[code]
+        end = np.cumsum(n)
+        ids = flat[np.arange(int(end[-1]) if len(end) else 0) + np.repeat(start[code] - (end - n), n)]
+        bounds = np.concatenate([[0], end])[offsets - offsets[0]].tolist()
+        out = [ids[a:b] for a, b in zip(bounds, bounds[1:], strict=False)]
+        for i, p in parts.items():
+            out[i] = np.frombuffer(b"".join(cache[c] for c in p), self.dtype)
+        return out
 
 
 def tokenizer_path(name: str = TOKENIZER) -> str:
