@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import decontaminate, packing, quality_classifier, quality_rules, token_counts, token_files, toxicity
+from . import decontaminate, near_dedup, packing, quality_classifier, quality_rules, substring_dedup, token_counts, token_files, toxicity
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -15,6 +15,10 @@ def op2_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_classifier.quality(spark, _table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
 
 
+def op3_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_dedup.near_duplicates(spark, _table(spark, sf_dir, "documents"))
+
+
 def op4_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = decontaminate.find_passages(spark, _table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
     return found.select("doc_id", "n_words", "n_hit", "n_items", "items_sha256", "contaminated")
@@ -28,6 +32,10 @@ def op6_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_files.token_file_digest(spark, _table(spark, sf_dir, "documents"))
 
 
+def op7_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return substring_dedup.remove_repeats(spark, _table(spark, sf_dir, "documents"), with_text=False)
+
+
 def op8_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(spark, _table(spark, sf_dir, "documents"))
 
@@ -41,5 +49,5 @@ def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return book.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept", "n_lines", "n_upper", "failures")
 
 
-QUERIES = {f.__name__: f for f in (op2_quality_classifier, op4_decontamination, op5_token_counts, op6_token_files, op8_best_fit_packing, op9_toxicity, op10_quality_rules)}
+QUERIES = {f.__name__: f for f in (op2_quality_classifier, op3_simhash_near_dedup, op4_decontamination, op5_token_counts, op6_token_files, op7_substring_dedup, op8_best_fit_packing, op9_toxicity, op10_quality_rules)}
 ORACLES: dict[str, str] = {}
