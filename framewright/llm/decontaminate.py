@@ -175,6 +175,41 @@ def occurrences(texts: list[list[bytes]], phrases: Phrases) -> Iterator[tuple[in
             yield width, at, items[k]
 
 
+Span = dict[str, int]
+
+
+def _hits(raw: list[bytes], blocks: list[str], width: int) -> tuple[np.ndarray, np.ndarray, dict[int, set[str]], list[list[Span]]]:
+    """For each text: its words, those hit; items by text; merged spans of hit words."""
+    texts = [words_of(t) for t in raw]
+    size = np.array([len(t) for t in texts], np.int64)
+    start = np.cumsum(size + 1) - size - 1
+    cover = np.zeros(int((size + 1).sum()) + 1, np.int32)
+    found: dict[int, set[str]] = {}
+    for block in blocks:
+        for n, at, names in occurrences(texts, _block(block, width)):
+            np.add.at(cover, at, 1)
+            np.add.at(cover, at + n, -1)
+            for d in np.unique(np.searchsorted(start, at, side="right") - 1).tolist():
+                found.setdefault(d, set()).update(names)
+    hit = np.cumsum(cover[:-1]) > 0
+    n_hit = np.add.reduceat(hit, start, dtype=np.int64) if len(texts) else np.zeros(0, np.int64)
+    spans: list[list[Span]] = [[] for _ in texts]
+    for d in np.flatnonzero(n_hit).tolist():
+        edge = np.diff(np.concatenate([[0], hit[start[d] : start[d] + size[d]].astype(np.int8), [0]]))
+        spans[d] = [{"first": a, "end": b} for a, b in zip(np.flatnonzero(edge == 1).tolist(), np.flatnonzero(edge == -1).tolist(), strict=True)]
+    return size, n_hit, found, spans
+
+
+def _blocks(spark: SparkSession, benchmark: DataFrame, item_id: str, item_text: str) -> list[str]:
+    """Writes the items in blocks to the shared folder; each task reads the blocks one by one."""
+    items = benchmark.select(F.col(item_id).cast("string").alias("item"), F.col(item_text).alias("text"))
+    words = items.agg(F.sum(F.length("text"))).first()[0] or 0
+    scratch = Scratch(spark, "decontaminate")
+    scratch.table(items.repartition(1 + int(words) // (4 * BLOCK_WORDS)), "items")
+    filesystem, path = store(f"{scratch.uri}/items")
+    return sorted(f"{scratch.uri}/items/{x.base_name}" for x in filesystem.get_file_info(pafs.FileSelector(path)) if x.base_name.endswith(".parquet"))
+
+
 RESULT = "doc_id long, n_words long, n_hit long, n_items long, items_sha256 string, contaminated boolean, spans array<struct<first:int,end:int>>"
 
 
@@ -187,40 +222,19 @@ def find_passages(spark: SparkSession, docs: DataFrame, benchmark: DataFrame, do
     without words no phrases; an item with a null id hits words but isn't counted. Repeated rows are judged each.
     A shard is a slice of a task's documents, so nothing is shuffled, whatever passages they share.
     """
-    items = benchmark.select(F.col(item_id).cast("string").alias("item"), F.col(item_text).alias("text"))
-    words = items.agg(F.sum(F.length("text"))).first()[0] or 0
-    scratch = Scratch(spark, "decontaminate")
-    scratch.table(items.repartition(1 + int(words) // (4 * BLOCK_WORDS)), "items")
-    filesystem, path = store(f"{scratch.uri}/items")
-    blocks = sorted(f"{scratch.uri}/items/{x.base_name}" for x in filesystem.get_file_info(pafs.FileSelector(path)) if x.base_name.endswith(".parquet"))
+    blocks = _blocks(spark, benchmark, item_id, item_text)
     per = round(1 / share)
 
     def judge(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches, "text"):
-            texts = [words_of(t) for t in texts_of(batch, "text")]
-            size = np.array([len(t) for t in texts], np.int64)
-            start = np.cumsum(size + 1) - size - 1
-            cover = np.zeros(int((size + 1).sum()) + 1, np.int32)
-            found: dict[int, set[str]] = {}
-            for block in blocks:
-                for n, at, names in occurrences(texts, _block(block, width)):
-                    np.add.at(cover, at, 1)
-                    np.add.at(cover, at + n, -1)
-                    for d in np.unique(np.searchsorted(start, at, side="right") - 1).tolist():
-                        found.setdefault(d, set()).update(names)
-            hit = np.cumsum(cover[:-1]) > 0
-            n_hit = np.add.reduceat(hit, start) if len(texts) else np.zeros(0, np.int64)
-            spans: list[list[dict[str, int]]] = [[] for _ in texts]
-            for d in np.flatnonzero(n_hit).tolist():
-                edge = np.diff(np.concatenate([[0], hit[start[d] : start[d] + size[d]].astype(np.int8), [0]]))
-                spans[d] = [{"first": a, "end": b} for a, b in zip(np.flatnonzero(edge == 1).tolist(), np.flatnonzero(edge == -1).tolist(), strict=True)]
-            names = [",".join(sorted(found.get(d, ()))) for d in range(len(texts))]
+            size, n_hit, found, spans = _hits(texts_of(batch, "text"), blocks, width)
+            names = [",".join(sorted(found.get(d, ()))) for d in range(len(size))]
             yield pa.RecordBatch.from_arrays(
                 [
                     batch.column("doc_id"),
                     pa.array(size),
-                    pa.array(n_hit.astype(np.int64)),
-                    pa.array([len(found.get(d, ())) for d in range(len(texts))], pa.int64()),
+                    pa.array(n_hit),
+                    pa.array([len(found.get(d, ())) for d in range(len(size))], pa.int64()),
                     pa.array([hashlib.sha256(x.encode()).hexdigest() for x in names]),
                     pa.array((n_hit > 0) & (per * n_hit >= size)),
                     pa.array(spans, pa.list_(pa.struct([("first", pa.int32()), ("end", pa.int32())]))),
@@ -231,6 +245,19 @@ def find_passages(spark: SparkSession, docs: DataFrame, benchmark: DataFrame, do
     return docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).alias("text")).mapInArrow(judge, RESULT)
 
 
+def without_contaminated(spark: SparkSession, docs: DataFrame, benchmark: DataFrame, text: str = "text", width: int = 13, share: float = 0.05) -> DataFrame:
+    """The rows of docs, all columns as they are, of which less than `share` of the words is hit; null and empty texts stay."""
+    blocks = _blocks(spark, benchmark, "item_id", "text")
+    per = round(1 / share)
+
+    def keep(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in slices(batches, text):
+            size, n_hit, _, _ = _hits(texts_of(batch, text), blocks, width)
+            yield batch.filter(pa.array(~((n_hit > 0) & (per * n_hit >= size))))
+
+    return docs.mapInArrow(keep, docs.schema)
+
+
 def without_spans(text: bytes, spans: list[dict[str, int]]) -> bytes:
     """The text without the words of the given spans and what stands between them."""
     if not spans:

@@ -4,13 +4,17 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import decontaminate, near_dedup, packing, quality_classifier, quality_rules, substring_dedup, token_counts, token_files, toxicity
+from . import decontaminate, line_dedup, near_dedup, packing, quality_classifier, quality_rules, substring_dedup, token_counts, token_files, toxicity
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op1_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return line_dedup.dedup_lines(spark, _table(spark, sf_dir, "documents"), digest=True)
+
+
 def op2_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_classifier.quality(spark, _table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
 
@@ -49,5 +53,5 @@ def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return book.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept", "n_lines", "n_upper", "failures")
 
 
-QUERIES = {f.__name__: f for f in (op2_quality_classifier, op3_simhash_near_dedup, op4_decontamination, op5_token_counts, op6_token_files, op7_substring_dedup, op8_best_fit_packing, op9_toxicity, op10_quality_rules)}
+QUERIES = {f.__name__: f for f in (op1_line_dedup, op2_quality_classifier, op3_simhash_near_dedup, op4_decontamination, op5_token_counts, op6_token_files, op7_substring_dedup, op8_best_fit_packing, op9_toxicity, op10_quality_rules)}
 ORACLES: dict[str, str] = {}
