@@ -1,10 +1,65 @@
-"""From raw documents to packed training sequences."""
+"""From raw documents to packed training sequences: five operators, each over what the one before kept."""
+
+from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-STAGES: list = []
+from framewright.llm import common, decontaminate, line_dedup, near_dedup, packing, toxicity
+
+
+def _begin() -> None:
+    """By now the result before has been written, so what its operator left in the shared folder can go."""
+    for owner in ("near_dedup", "line_dedup", "decontaminate", "packing"):
+        common.free(owner)
+
+
+def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that the grammar doesn't reject. It is taught by the labels and the documents of sf_dir."""
+    _begin()
+    grammar = toxicity.fit(spark.read.parquet(f"{sf_dir}/documents.parquet"), spark.read.parquet(f"{sf_dir}/labels.parquet"))
+    return toxicity.without_toxic(docs, grammar)
+
+
+def drop_repeated_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """All documents, without later copies of runs of lines."""
+    _begin()
+    return line_dedup.dedup_lines(spark, docs)
+
+
+def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each group of near copies."""
+    _begin()
+    return near_dedup.one_of_each(spark, docs)
+
+
+def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents of which less than a twentieth lies in passages of test items."""
+    _begin()
+    return decontaminate.without_contaminated(spark, docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
+
+
+def pack_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Pieces of all documents, placed in sequences of at most 1024 tokens."""
+    _begin()
+    return packing.pack(spark, docs)
+
+
+STAGES = [
+    ("toxicity", drop_toxic),
+    ("line_dedup", drop_repeated_lines),
+    ("near_dedup", drop_near_copies),
+    ("decontamination", drop_contaminated),
+    ("packing", pack_sequences),
+]
+
+#: Stages learn from labels, hash with XXH64 and encode with a tokenizer, which SQL can't express.
 ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    raise NotImplementedError
+    """All stages over the documents of sf_dir, each stage's rows written to the shared folder and read again."""
+    scratch = common.Scratch(spark, "pipeline")
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    for name, stage in STAGES[:-1]:
+        docs = scratch.table(stage(spark, docs, sf_dir), name)
+    return STAGES[-1][1](spark, docs, sf_dir)
