@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import decontaminate, line_dedup, near_dedup, packing, quality_classifier, quality_rules, substring_dedup, token_counts, token_files, toxicity
+from . import decontaminate, line_dedup, near_dedup, oracles, packing, quality_classifier, quality_rules, substring_dedup, token_counts, token_files, toxicity
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -54,4 +54,4 @@ def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {f.__name__: f for f in (op1_line_dedup, op2_quality_classifier, op3_simhash_near_dedup, op4_decontamination, op5_token_counts, op6_token_files, op7_substring_dedup, op8_best_fit_packing, op9_toxicity, op10_quality_rules)}
-ORACLES: dict[str, str] = {}
+ORACLES = oracles.ORACLES
