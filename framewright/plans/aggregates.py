@@ -143,7 +143,7 @@ def a17(t: Tables) -> DataFrame:
     return A.kruskal(trials(t), ["task"], "policy", "success")
 
 
-@query("a17_kruskal_statistic", f"WITH {TRIALS}, k AS (SELECT task, policy, success, rank() OVER (PARTITION BY task ORDER BY success) AS lo, count(*) OVER (PARTITION BY task, success) AS t, count(*) OVER (PARTITION BY task) AS n FROM r), s AS (SELECT task, policy, sum(lo + (t - 1) / 2.0) AS rs, count(*) AS m, max(n) AS n FROM k GROUP BY task, policy), h AS (SELECT task, 12.0 / (max(n) * (max(n) + 1)) * sum(rs * rs / m) - 3 * (max(n) + 1) AS h, max(n)::DOUBLE AS n FROM s GROUP BY task), c AS (SELECT task, sum(t * t - 1)::DOUBLE AS c FROM k GROUP BY task) SELECT task, round(h / (1 - c / (n * n * n - n)), 6)::DOUBLE AS h FROM h JOIN c USING (task)")
+@query("a17_kruskal_statistic", f"WITH {TRIALS}, k AS (SELECT task, policy, success, rank() OVER (PARTITION BY task ORDER BY success) AS lo, count(*) OVER (PARTITION BY task, success) AS t, count(*) OVER (PARTITION BY task) AS n FROM r), s AS (SELECT task, policy, sum(lo + (t - 1) / 2.0) AS rs, count(*) AS m, max(n) AS n FROM k GROUP BY task, policy), h AS (SELECT task, 12.0 / (max(n) * (max(n) + 1)) * sum(rs * rs / m) - 3 * (max(n) + 1) AS h, max(n)::DOUBLE AS n FROM s GROUP BY task), c AS (SELECT task, sum(t * t - 1)::DOUBLE AS c FROM k GROUP BY task) SELECT task, CASE WHEN 1 - c / (n * n * n - n) > 0 THEN round(h / (1 - c / (n * n * n - n)), 6)::DOUBLE ELSE 0 END::DOUBLE AS h FROM h JOIN c USING (task)")
 def a17h(t: Tables) -> DataFrame:
     return A.kruskal(trials(t), ["task"], "policy", "success").select("task", F.round("h", 6).alias("h"))
 

@@ -13,24 +13,25 @@ def lines(t: Tables, value, name: str, df: DataFrame | None = None) -> str:
     return path
 
 
-EVENT = F.to_json(F.struct("event_id", "event_type", "value"))
+def event():
+    return F.to_json(F.struct("event_id", "event_type", "value"))
 
 
 @query("s1_jsonl_scan", "SELECT event_id, event_type, value FROM events")
 def s1(t: Tables) -> DataFrame:
-    blank = F.when(F.col("event_id") % 5 == 0, F.concat(EVENT, F.lit("\n"))).otherwise(EVENT)
+    blank = F.when(F.col("event_id") % 5 == 0, F.concat(event(), F.lit("\n"))).otherwise(event())
     return files.jsonl(t.spark, lines(t, blank, "jsonl"), "event_id long, event_type string, value double")
 
 
 @query("s2_tolerant_jsonl", "SELECT event_id, event_type FROM events WHERE event_id % 10 <> 3")
 def s2(t: Tables) -> DataFrame:
-    broken = F.when(F.col("event_id") % 10 == 3, F.substring(EVENT, 1, 9)).otherwise(EVENT)
+    broken = F.when(F.col("event_id") % 10 == 3, F.substring(event(), 1, 9)).otherwise(event())
     return files.jsonl_tolerant(t.spark, lines(t, broken, "tolerant"), "event_id long, event_type string, value double")[0].select("event_id", "event_type")
 
 
 @query("s2_corrupt_lines", "SELECT count(*) AS n_corrupt FROM events WHERE event_id % 10 = 3")
 def s2c(t: Tables) -> DataFrame:
-    broken = F.when(F.col("event_id") % 10 == 3, F.substring(EVENT, 1, 9)).otherwise(EVENT)
+    broken = F.when(F.col("event_id") % 10 == 3, F.substring(event(), 1, 9)).otherwise(event())
     return files.jsonl_tolerant(t.spark, lines(t, broken, "corrupt"), "event_id long, event_type string, value double")[1].agg(F.count("*").alias("n_corrupt"))
 
 
@@ -49,7 +50,7 @@ def s5(t: Tables) -> DataFrame:
 @query("s6_split_scan", "SELECT count(*) AS n, sum(event_id)::BIGINT AS total FROM events")
 def s6(t: Tables) -> DataFrame:
     """Splits of text files at any byte lose no line and repeat none."""
-    path = lines(t, EVENT, "splits")
+    path = lines(t, event(), "splits")
     return files.jsonl(t.spark, path, "event_id long, event_type string, value double").agg(F.count("*").alias("n"), F.sum("event_id").alias("total"))
 
 

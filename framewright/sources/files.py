@@ -27,7 +27,8 @@ def json_array(spark: SparkSession, path: str, schema: str) -> DataFrame:
 def ragged_csv(spark: SparkSession, path: str) -> DataFrame:
     """(dim, edge_idx, edge): a row of the file for each dimension, blanks at its end left out. Lines keep their order by file offset."""
     header = spark.read.option("header", True).csv(path)
-    cells = header.select(F.monotonically_increasing_id().alias("_line"), F.posexplode(F.array(*(F.col(f"`{c}`").try_cast("double") for c in header.columns))).alias("edge_idx", "edge"))
+    numbered = header.withColumn("_line", F.monotonically_increasing_id())
+    cells = numbered.select("_line", F.posexplode(F.array(*(F.col(f"`{c}`").try_cast("double") for c in header.columns))).alias("edge_idx", "edge"))
     from ..operators.ordering import dense_number
 
     return dense_number(cells.filter("edge IS NOT NULL"), "_line", "dim").select("dim", "edge_idx", "edge")
