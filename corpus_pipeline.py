@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from framewright.llm import common, decontaminate, line_dedup, near_dedup, packing, toxicity
 
@@ -21,9 +22,10 @@ def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def drop_repeated_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """All documents, without later copies of runs of lines."""
+    """All documents, without later copies of runs of lines; n_chars follows the text."""
     _begin()
-    return line_dedup.dedup_lines(spark, docs)
+    left = line_dedup.dedup_lines(spark, docs)
+    return left.withColumn("n_chars", F.coalesce(F.length("text").cast("long"), "n_chars"))
 
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
