@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import contextlib
 import zlib
 from collections.abc import Iterable, Iterator
 
@@ -28,6 +29,8 @@ def _publish(uri: str, schema: pa.Schema, batches: Iterable[pa.RecordBatch]) ->
     with filesystem.open_output_stream(attempt) as out, pa.ipc.new_file(out, schema) as writer:
         for batch in batches:
             writer.write_batch(batch)
+    with contextlib.suppress(FileNotFoundError):  # of an attempt whose executor was lost; not every store moves over a file
+        filesystem.delete_file(path)
     filesystem.move(attempt, path)
 
 
