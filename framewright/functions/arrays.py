@@ -50,3 +50,12 @@ def choice(a: Column, seed: Column) -> Column:
 
 def out_of_range(a: Column, domain: int) -> Column:
     return F.exists(a, lambda x: (x < 0) | (x >= domain))
+
+
+def one_hot(code: Column, domain: int) -> Column:
+    return F.transform(F.sequence(F.lit(0), F.lit(domain - 1)), lambda k: F.when(k == code, 1).otherwise(0))
+
+
+def mask_runs(*runs: tuple[bool, Column]) -> Column:
+    """A mask of runs, each of one value and a length."""
+    return F.concat(*(F.array_repeat(F.lit(value), n) for value, n in runs))

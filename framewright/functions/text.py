@@ -73,3 +73,8 @@ def coerced_kind(c: Column) -> Column:
         .when(F.lower(c).isin("true", "false"), "bool")
         .otherwise("str")
     )
+
+
+def lossy(raw: Column) -> Column:
+    """Bytes as UTF-8 text, what isn't valid as the replacement character."""
+    return F.make_valid_utf8(raw.cast("string"))

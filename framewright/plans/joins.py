@@ -115,3 +115,10 @@ def j20(t: Tables) -> DataFrame:
     from ..operators.quantize import score_batches
 
     return score_batches(t.frames.select("episode", "frame"), lambda pdf: (pdf["frame"] * 3 + 1) % 8, "code int")
+
+
+@query("j8_split_index_join", f"WITH {LV} SELECT v.episode, count(*) AS n_frames, min(o_custkey) AS source FROM orders JOIN v ON v.episode = o_orderkey WHERE o_orderstatus = 'O' GROUP BY v.episode")
+def j8(t: Tables) -> DataFrame:
+    """Index and frames of an episode meet in one partition: both sides are dealt by episode, and the count needs no shuffle more."""
+    index = t.orders.filter("o_orderstatus = 'O'").select(F.col("o_orderkey").alias("episode"), F.col("o_custkey").alias("source"))
+    return vision(t).join(index, "episode").groupBy("episode").agg(F.count("*").alias("n_frames"), F.min("source").alias("source"))

@@ -283,3 +283,76 @@ def f37(t: Tables) -> DataFrame:
 def f38(t: Tables) -> DataFrame:
     turns = t.conversations.groupBy("conv_id").agg(F.sort_array(F.collect_list(F.struct("turn", "text"))).alias("turns"))
     return turns.select("conv_id", F.get(F.filter("turns", lambda x: x["turn"] >= 1), F.lit(0))["text"].alias("second"))
+
+
+@query("f3_strip_replace_format", "SELECT n_nationkey, trim(concat('  ', n_name, ' '), ' ') AS stripped, replace(n_name, 'A', '_') AS replaced, concat('ep_', lpad(n_nationkey::VARCHAR, 6, '0')) AS padded FROM nation")
+def f3(t: Tables) -> DataFrame:
+    return t.nation.select("n_nationkey", F.trim(F.concat(F.lit("  "), "n_name", F.lit(" "))).alias("stripped"), F.replace("n_name", F.lit("A"), F.lit("_")).alias("replaced"), F.format_string("ep_%06d", "n_nationkey").alias("padded"))
+
+
+@query("f5_bracket_flag", "SELECT o_orderkey, CASE WHEN o_orderkey % 2 = 0 THEN 0.0 ELSE 1.0 END::DOUBLE AS loss, o_orderpriority AS name FROM orders")
+def f5(t: Tables) -> DataFrame:
+    given = F.when(F.col("o_orderkey") % 2 == 0, F.concat(F.lit("["), "o_orderpriority", F.lit("]"))).otherwise(F.col("o_orderpriority"))
+    spec = F.get(text.field_specs(given), F.lit(0))
+    return t.orders.select("o_orderkey", spec["loss"].cast("double").alias("loss"), F.get(spec["names"], F.lit(0)).alias("name"))
+
+
+@query("f8_bytes_with_replacement", "SELECT n_nationkey, concat(n_name, chr(65533)) AS name FROM nation")
+def f8(t: Tables) -> DataFrame:
+    broken = F.concat(F.encode("n_name", "UTF-8"), F.unhex(F.lit("FF")))
+    return t.nation.select("n_nationkey", text.lossy(broken).alias("name"))
+
+
+@query("f9_text_tokens", "SELECT event_id, array_to_string([ascii(c) FOR c IN string_split(event_type, '')], ',') AS tokens FROM events")
+def f9(t: Tables) -> DataFrame:
+    from ..operators.sequences import code_points
+
+    return t.events.select("event_id", F.array_join(code_points(F.col("event_type")).cast("array<string>"), ",").alias("tokens"))
+
+
+@query("f10_floor_modulo_clamp", "SELECT o_orderkey, o_orderkey // 7 AS part, ((-o_orderkey % 7) + 7) % 7 AS shard, least(greatest(o_orderkey, 100), 900) AS clamped FROM orders")
+def f10(t: Tables) -> DataFrame:
+    k = F.col("o_orderkey")
+    return t.orders.select("o_orderkey", F.floor(k / 7).alias("part"), F.pmod(-k, F.lit(7)).alias("shard"), F.least(F.greatest(k, F.lit(100)), F.lit(900)).alias("clamped"))
+
+
+@query("f12_scale_and_inverse", "SELECT event_id, round(2 + least(greatest(value / 50 - 1, -1), 1), 6) AS scaled, round(least(greatest(value / 50 - 1, -1), 1), 6) + 0 AS back FROM events")
+def f12(t: Tables) -> DataFrame:
+    scaled = numeric.clip_and_scale(F.col("value") / 50 - 1, 1, 3)
+    return t.events.select("event_id", F.round(scaled, 6).alias("scaled"), (F.round(numeric.unscale(scaled, 1, 3), 6) + 0).alias("back"))
+
+
+@query("f26_round_three", "SELECT vec_id, round(embedding[1]::DOUBLE, 3) + 0 AS x FROM embeddings")
+def f26(t: Tables) -> DataFrame:
+    return t.embeddings.select("vec_id", (F.round(F.get("embedding", F.lit(0)).cast("double"), 3) + 0).alias("x"))
+
+
+@query("f27_slice_concat_repeat", f"WITH {DELTA} SELECT event_id, array_to_string(list_concat(delta[2:3], [9, 9], delta), ',') AS codes FROM d")
+def f27(t: Tables) -> DataFrame:
+    parts = F.flatten(F.array(F.slice("delta", 2, 2), F.array_repeat(F.lit(9), 2), F.col("delta")))
+    return deltas(t).select("event_id", F.array_join(parts.cast("array<string>"), ",").alias("codes"))
+
+
+@query("f31_one_hot", f"WITH {DELTA} SELECT event_id, array_to_string([CASE WHEN delta[1] = k THEN 1 ELSE 0 END FOR k IN generate_series(0, 7)], '') AS hot FROM d")
+def f31(t: Tables) -> DataFrame:
+    return deltas(t).select("event_id", F.array_join(arrays.one_hot(F.get("delta", F.lit(0)), 8).cast("array<string>"), "").alias("hot"))
+
+
+@query("f32_mask_runs", f"WITH {DELTA} SELECT event_id, concat('0', repeat('1', delta[1]), '00') AS mask FROM d")
+def f32(t: Tables) -> DataFrame:
+    mask = arrays.mask_runs((False, F.lit(1)), (True, F.get("delta", F.lit(0))), (False, F.lit(2)))
+    return deltas(t).select("event_id", F.array_join(F.transform(mask, lambda x: x.cast("int").cast("string")), "").alias("mask"))
+
+
+@query("f35_flatten_to_vector", "SELECT l_orderkey, l_linenumber, round(l_quantity + l_discount + l_tax, 6) AS total, 3 AS n FROM lineitem")
+def f35(t: Tables) -> DataFrame:
+    state = t.lineitem.select("l_orderkey", "l_linenumber", F.struct("l_quantity", F.struct("l_discount", "l_tax").alias("rates")).alias("state"))
+    vector = F.concat(F.array("state.l_quantity"), F.array("state.rates.l_discount", "state.rates.l_tax"))
+    return state.select("l_orderkey", "l_linenumber", F.round(F.aggregate(vector, F.lit(0.0), lambda a, x: a + x), 6).alias("total"), F.size(vector).alias("n"))
+
+
+@query("f40_unit_sphere_samples")
+def f40(t: Tables) -> DataFrame:
+    """A unit vector for each event, from seeded normal numbers."""
+    drawn = t.events.select("event_id", F.array(*(F.randn(k) for k in (1, 2, 3))).alias("v"))
+    return drawn.select("event_id", numeric.unit(F.col("v")).alias("v")).select("event_id", *(F.get("v", F.lit(i)).alias(c) for i, c in enumerate("xyz")))

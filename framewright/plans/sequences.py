@@ -103,3 +103,19 @@ def t16(t: Tables) -> DataFrame:
 @query("t17_forced_end_of_frame", f"WITH {FRAMES} SELECT episode, frame, CASE WHEN (frame + 1) % 17 = 0 THEN 8192 ELSE (event_id % 50)::INT END::INT AS token FROM f")
 def t17(t: Tables) -> DataFrame:
     return t.frames.select("episode", "frame", S.forced_end_of_frame((F.col("event_id") % 50).cast("int"), F.col("frame"), 16).alias("token"))
+
+
+@query("t7_kind_dispatch", f"WITH {ROWS} SELECT event_id, 6 + len(it)::INT + len(it)::INT - 4 AS n_text, 8 + len(it)::INT + 2 AS n_vision FROM s")
+def t7(t: Tables) -> DataFrame:
+    """Each kind of dataset builds its own fields; lengths tell them apart."""
+    r = rows(t)
+    text = S.sequences(r, "text").select("event_id", F.size("seq").alias("n_text"))
+    vision = S.sequences(r, "vision_text", per_frame=2).select("event_id", F.size("seq").alias("n_vision"))
+    return text.join(vision, "event_id")
+
+
+@query("t12_ordered_tokenization", f"WITH {ROWS} SELECT event_id, row_number() OVER (ORDER BY event_id) - 1 AS place, len(it)::BIGINT AS n FROM s")
+def t12(t: Tables) -> DataFrame:
+    """Tokenized in parallel, numbered in the order of the input."""
+    done = rows(t).select("event_id", F.size(S.code_points(F.col("instruction"))).cast("long").alias("n"))
+    return S.global_order(done, ["event_id"], "place")

@@ -276,3 +276,59 @@ def st(t: Tables) -> DataFrame:
     rows.filter(F.col("event") >= (middle or 0)).coalesce(1).write.mode("append").json(source)
     out = stream_pairs(t.spark, source, 3)
     return out.select("episode", F.col("old").alias("old_event"), F.col("new").alias("new_event"))
+
+
+@query("s4_stream_epochs", "SELECT event_id, e::INT AS epoch FROM events, unnest([0, 1, 2]) AS s(e)")
+def s4(t: Tables) -> DataFrame:
+    """A stream of JSON lines read to its end, wrapped for three epochs."""
+    from ..streaming.resume import run_available
+
+    source, out = sinks.scratch(t.spark, "wrap"), sinks.scratch(t.spark, "wrap-out")
+    t.events.select("event_id").write.json(source)
+    run_available(t.spark, source, "event_id long", out)
+    return files.epochs(t.spark.read.schema("event_id long").parquet(f"{out}/data"), "event_id", 3, seed=5)
+
+
+@query("k6_bins_csv", "SELECT 0 AS dim, count(DISTINCT l_discount) AS n_edges, min(l_discount) AS low, max(l_discount) AS high FROM lineitem")
+def k6(t: Tables) -> DataFrame:
+    edges = t.lineitem.agg(F.sort_array(F.collect_set("l_discount")).alias("edges")).select(F.lit(0).alias("dim"), "edges")
+    sinks.bins_csv(edges, path := sinks.scratch(t.spark, "bins"), 32)
+    return files.ragged_csv(t.spark, path).groupBy("dim").agg(F.count("*").alias("n_edges"), F.min("edge").alias("low"), F.max("edge").alias("high"))
+
+
+@query("k8_failed_write_leaves_nothing", "SELECT n_nationkey FROM nation")
+def k8(t: Tables) -> DataFrame:
+    """A publish that its audit refuses leaves the rows that were there."""
+    from ..operators.audits import AuditFailure
+
+    path = sinks.scratch(t.spark, "refused")
+    sinks.publish(t.nation.select("n_nationkey"), path, lambda d: None)
+
+    def refuse(d: DataFrame) -> None:
+        raise AuditFailure("refused")
+
+    try:
+        sinks.publish(t.nation.limit(1).select("n_nationkey"), path, refuse)
+    except AuditFailure:
+        pass
+    return files.jsonl(t.spark, path, "n_nationkey int")
+
+
+@query("k9_shared_cache", "SELECT user_id, count(*) AS n FROM events GROUP BY user_id")
+def k9(t: Tables) -> DataFrame:
+    """An intermediate table by episode in the shared folder, which later reads prune to what they need."""
+    path = sinks.scratch(t.spark, "cache")
+    sinks.write_episodes(t.events.select("event_id", "user_id"), path, ["user_id"])
+    return t.spark.read.schema("event_id long, user_id long").parquet(path).groupBy("user_id").agg(F.count("*").alias("n"))
+
+
+@query("st_resumed_episodes", "SELECT user_id, count(*) AS n FROM events GROUP BY user_id")
+def st_resumed(t: Tables) -> DataFrame:
+    """A stream that writes a folder for each episode; running it again changes nothing."""
+    from ..streaming.resume import run_episodes
+
+    source, out = sinks.scratch(t.spark, "episodes-in"), sinks.scratch(t.spark, "episodes-out")
+    t.events.select("event_id", "user_id").coalesce(1).write.json(source)
+    for _ in range(2):
+        run_episodes(t.spark, source, "event_id long, user_id long", out, ["user_id"])
+    return t.spark.read.schema("event_id long, user_id long").parquet(f"{out}/data").groupBy("user_id").agg(F.count("*").alias("n"))
