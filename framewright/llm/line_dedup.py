@@ -115,7 +115,7 @@ def dedup_lines(spark: SparkSession, docs: DataFrame, doc_id: str = "doc_id", te
     wanted = [docs.columns.index(doc_id), docs.columns.index(text)] if digest else [*range(len(names))]
     at = names[docs.columns.index(text)]
     keyed = docs.toDF(*names).select(*(names[i] for i in wanted), _id(names[docs.columns.index(doc_id)]).alias("id"), F.xxhash64(at).alias("th"))
-    joined = keyed.join(gone, KEY, "left").drop(*KEY)
+    joined = keyed.join(gone.hint("merge"), KEY, "left").drop(*KEY)  # texts are dealt out the same way at every size
     kept_types = [docs.schema[i] for i in wanted]
 
     def cut(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

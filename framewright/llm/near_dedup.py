@@ -243,5 +243,5 @@ def one_of_each(spark: SparkSession, docs: DataFrame) -> DataFrame:
     """
     found = near_duplicates(spark, docs)
     kept = found.filter("doc_id = component_id").select("doc_id").distinct()
-    named = docs.join(kept, "doc_id", "left_semi").dropDuplicates(["doc_id"])
+    named = docs.join(kept.hint("merge"), "doc_id", "left_semi").dropDuplicates(["doc_id"])
     return named.select(docs.columns).unionByName(docs.filter(F.col("doc_id").isNull()))
