@@ -11,7 +11,6 @@ from collections.abc import Iterable, Iterator
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-import xxhash
 from pyarrow import fs as pafs
 from pyspark.sql import DataFrame, SparkSession
 
@@ -90,16 +89,54 @@ def texts_of(batch: pa.RecordBatch, text: str) -> list[bytes]:
     return [x or b"" for x in column.cast(pa.large_binary()).to_pylist()]
 
 
-def word_codes(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray, list[bytes]]:
-    """Words between ASCII white space, as codes: (code of each word, index of each text's first word and the end, words by code)."""
-    codes: dict[bytes, int] = {}
-    give = codes.setdefault
-    starts, flat = np.zeros(len(texts) + 1, np.int64), []
-    for i, text in enumerate(texts):
-        # bytes.split() cuts at exactly the six characters of SPACE_CLASS
-        flat.append(np.fromiter((give(w, len(codes)) for w in text.split()), np.int64))
-        starts[i + 1] = starts[i] + len(flat[-1])
-    return np.concatenate(flat) if flat else np.zeros(0, np.int64), starts, list(codes)
+_SPACE = np.array([chr(c) in " \t\n\x0b\x0c\r" for c in range(256)])
+
+
+class Words:
+    """The words between ASCII white space of several texts, as places in their joined bytes."""
+
+    def __init__(self, texts: list[bytes]) -> None:
+        self.raw = np.frombuffer(b" ".join(texts) + b" " * 9, np.uint8)
+        space = _SPACE[self.raw]
+        edge = np.flatnonzero(space[1:] != space[:-1]) + 1
+        if not space[0]:
+            edge = np.concatenate([[0], edge])
+        self.first, self.end = edge[::2], edge[1::2]
+        #: Index of each text's first word, and the number of all words.
+        size = np.array([len(t) + 1 for t in texts], np.int64)
+        self.bounds = np.append(np.cumsum(size) - size, len(self.raw))
+        self.start = np.searchsorted(self.first, self.bounds)
+
+    def __len__(self) -> int:
+        return len(self.first)
+
+    def hashes(self, lane: int) -> np.ndarray:
+        """64 bits of each word, eight bytes of it at a time; words of up to eight bytes can't share them in one length."""
+        eight = np.ndarray((len(self.raw) - 7,), "<u8", self.raw, strides=(1,))
+        size = self.end - self.first
+        with np.errstate(over="ignore"):
+            h = size.astype(np.uint64) * np.uint64(BASES[1 - lane]) + np.uint64(BASES[lane])
+            live, at = np.arange(len(size)), self.first
+            while len(live):
+                left = size[live] - (at - self.first[live])
+                mask = np.where(left >= 8, np.uint64((1 << 64) - 1), (np.uint64(1) << (8 * np.minimum(left, 7)).astype(np.uint64)) - np.uint64(1))
+                h[live] = mix(h[live] ^ (eight[at] & mask))
+                more = left > 8
+                live, at = live[more], at[more] + 8
+        return h
+
+    def kept(self, gone: np.ndarray) -> list[bytes]:
+        """Each text's words that are not gone, joined by spaces."""
+        keep = ~gone
+        step = np.zeros(len(self.raw) + 1, np.int8)
+        step[self.first[keep]] += 1
+        step[self.end[keep] + 1] -= 1  # with the white space after it
+        inside = np.cumsum(step[:-1]).astype(bool)
+        raw = self.raw.copy()
+        raw[self.end[keep]] = 32
+        out = raw[inside].tobytes()
+        at = np.concatenate([[0], np.cumsum(inside)])[self.bounds].tolist()
+        return [out[a : max(a, b - 1)] for a, b in zip(at, at[1:], strict=False)]
 
 
 #: Odd multipliers of two independent polynomials over word hashes.
@@ -115,27 +152,18 @@ def mix(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(33))
 
 
-def window_hashes(codes: np.ndarray, words: list[bytes], width: int, lane: int = 0) -> np.ndarray:
-    """64-bit hash of each run of `width` words in the flat sequence, whatever text they lie in."""
-    n = len(codes)
+def window_hashes(h: np.ndarray, width: int, lane: int = 0) -> np.ndarray:
+    """64-bit hash of each run of `width` words in a sequence of word hashes, whatever text they lie in."""
+    n = len(h)
     if n < width:
         return np.zeros(0, np.uint64)
+    base, total, run, k, at, left = BASES[lane], np.zeros(n - width + 1, np.uint64), h, 1, 0, width
     with np.errstate(over="ignore"):
-        h = np.fromiter((xxhash.xxh3_64_intdigest(w, lane) for w in words), np.uint64, len(words))[codes]
-        base = BASES[lane]
-        total, power = np.zeros(n - width + 1, np.uint64), 1
-        # Horner over doubling runs: the run of 2k words from i is run_k[i] * base**k + run_k[i + k]
-        run, k, at = h, 1, 0
-        left = width
-        while True:
+        while True:  # Horner over doubling runs: the run of 2k words from i is run_k[i] * base**k + run_k[i + k]
             if left & k:
-                step = run[at : at + n - width + 1]
-                total = total * np.uint64(pow(base, k, 1 << 64)) + step
-                at += k
-                left -= k
+                total = total * np.uint64(pow(base, k, 1 << 64)) + run[at : at + n - width + 1]
+                at, left = at + k, left - k
             if not left:
-                break
+                return mix(total)
             run = run[: len(run) - k] * np.uint64(pow(base, k, 1 << 64)) + run[k:]
             k *= 2
-        del power
-        return mix(total)

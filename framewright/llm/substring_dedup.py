@@ -18,7 +18,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import Scratch, slices, store, texts_of, window_hashes, word_codes
+from .common import Scratch, Words, slices, store, texts_of, window_hashes
 from .tokens import partitions
 
 #: Bits of a cell's number, rows of the sketch, and windows for which a shard is made.
@@ -47,14 +47,24 @@ class Chunk:
     """The windows of a slice of documents: hashes of those within one text, and where they start in its words."""
 
     def __init__(self, texts: list[bytes], width: int) -> None:
-        self.codes, self.start, self.words = word_codes(texts)
-        self.width = width
+        self.words = Words(texts)
+        self.start, self.width = self.words.start, width
+        n = max(0, len(self.words) - width + 1)
         last = np.repeat(self.start[1:], np.diff(self.start)) - width
-        inside = last[: max(0, len(self.codes) - width + 1)] >= np.arange(max(0, len(self.codes) - width + 1))
-        self.place = np.flatnonzero(inside)
+        self.place = np.flatnonzero(last[:n] >= np.arange(n))
 
     def hashes(self, lane: int) -> np.ndarray:
-        return window_hashes(self.codes, self.words, self.width, lane)[self.place]
+        return window_hashes(self.words.hashes(lane), self.width, lane)[self.place]
+
+
+def digest_of(h: np.ndarray) -> int:
+    """Tells whether a chunk has the same windows as when it was read before."""
+    return int(np.bitwise_xor.reduce(h, initial=np.uint64(len(h))).view(np.int64)) if len(h) else 0
+
+
+def same_chunk(replies: Iterable[dict], h: np.ndarray) -> None:
+    if any(r["digest"] != digest_of(h) for r in replies):
+        raise RuntimeError("a scan partition has other rows than before; write the input to a table first")
 
 
 def shard_of(h: np.ndarray, bits: int) -> np.ndarray:
@@ -125,14 +135,15 @@ def repeated_windows(scratch: Scratch, docs: DataFrame, text: str, width: int) -
     def ask(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         part = TaskContext.get().partitionId()
         for k, batch in enumerate(slices(batches, text, CHUNK_BYTES)):
-            rows = [*sketch_message(Chunk(texts_of(batch, text), width).hashes(0), bits)]
-            yield pa.RecordBatch.from_pydict({"shard": pa.array([s for s, _ in rows], pa.int32()), "part": pa.array([part] * len(rows), pa.int32()), "chunk": pa.array([k] * len(rows), pa.int32())} | {f"r{r}": pa.array([p[r] for _, p in rows], pa.binary()) for r in range(ROWS)})
+            h = Chunk(texts_of(batch, text), width).hashes(0)
+            rows = [*sketch_message(h, bits)]
+            yield pa.RecordBatch.from_pydict({"digest": pa.array([digest_of(h)] * len(rows), pa.int64()), "shard": pa.array([s for s, _ in rows], pa.int32()), "part": pa.array([part] * len(rows), pa.int32()), "chunk": pa.array([k] * len(rows), pa.int32())} | {f"r{r}": pa.array([p[r] for _, p in rows], pa.binary()) for r in range(ROWS)})
 
     def merge(table: pa.Table) -> pa.Table:
-        return table.select(["shard", "part", "chunk"]).append_column("m0", pa.array(merge_sketches(table.column("r0").to_pylist()), pa.binary())).append_column("m1", pa.array(merge_sketches(table.column("r1").to_pylist()), pa.binary()))
+        return table.select(["digest", "shard", "part", "chunk"]).append_column("m0", pa.array(merge_sketches(table.column("r0").to_pylist()), pa.binary())).append_column("m1", pa.array(merge_sketches(table.column("r1").to_pylist()), pa.binary()))
 
-    asked = docs.mapInArrow(ask, "shard int, part int, chunk int, r0 binary, r1 binary")
-    answers = asked.groupBy("shard").applyInArrow(merge, "shard int, part int, chunk int, m0 binary, m1 binary")
+    asked = docs.mapInArrow(ask, "digest long, shard int, part int, chunk int, r0 binary, r1 binary")
+    answers = asked.groupBy("shard").applyInArrow(merge, "digest long, shard int, part int, chunk int, m0 binary, m1 binary")
     folder = _answers(scratch, answers, "sketch", n)
 
     def send(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -141,7 +152,8 @@ def repeated_windows(scratch: Scratch, docs: DataFrame, text: str, width: int) -
         for k, batch in enumerate(slices(batches, text, CHUNK_BYTES)):
             chunk = Chunk(texts_of(batch, text), width)
             a = chunk.hashes(0)
-            held, live = replies.get(k, {}), np.arange(len(a))
+            held, live, digest = replies.get(k, {}), np.arange(len(a)), digest_of(a)
+            same_chunk(held.values(), a)
             for r in range(ROWS):  # estimated repeated: every row's cell is
                 cells = np.unique(cells_of(a, r, bits))
                 bit = [np.unpackbits(np.frombuffer(held[s][f"m{r}"], np.uint8), count=len(p)) for s, p in enumerate(_by_shard(cells, bits)) if len(p)]
@@ -157,15 +169,15 @@ def repeated_windows(scratch: Scratch, docs: DataFrame, text: str, width: int) -
             a, b = a[new], b[new]
             ends = np.searchsorted(shard_of(a, bits), np.arange((1 << bits) + 1))
             rows = [(s, i, j) for s, (i, j) in enumerate(zip(ends[:-1].tolist(), ends[1:].tolist(), strict=True)) if j > i]
-            yield pa.RecordBatch.from_pydict({"shard": pa.array([s for s, _, _ in rows], pa.int32()), "part": pa.array([part] * len(rows), pa.int32()), "chunk": pa.array([k] * len(rows), pa.int32())} | {c: pa.array([x[i:j].tobytes() for _, i, j in rows], pa.binary()) for c, x in (("a", a), ("b", b), ("many", many))})
+            yield pa.RecordBatch.from_pydict({"digest": pa.array([digest] * len(rows), pa.int64()), "shard": pa.array([s for s, _, _ in rows], pa.int32()), "part": pa.array([part] * len(rows), pa.int32()), "chunk": pa.array([k] * len(rows), pa.int32())} | {c: pa.array([x[i:j].tobytes() for _, i, j in rows], pa.binary()) for c, x in (("a", a), ("b", b), ("many", many))})
 
     def group(table: pa.Table) -> pa.Table:
         windows = [(_numbers(a), _numbers(b), np.frombuffer(m, bool)) for a, b, m in zip(*(table.column(c).to_pylist() for c in ("a", "b", "many")), strict=True)]
         found = [a[r].tobytes() for (a, _, _), r in zip(windows, repeated_of(windows), strict=True)]
-        return table.select(["part", "chunk"]).append_column("a", pa.array(found, pa.binary()))
+        return table.select(["digest", "part", "chunk"]).append_column("a", pa.array(found, pa.binary()))
 
-    sent = docs.mapInArrow(send, "shard int, part int, chunk int, a binary, b binary, many binary")
-    return _answers(scratch, sent.groupBy("shard").applyInArrow(group, "part int, chunk int, a binary"), "windows", n)
+    sent = docs.mapInArrow(send, "digest long, shard int, part int, chunk int, a binary, b binary, many binary")
+    return _answers(scratch, sent.groupBy("shard").applyInArrow(group, "digest long, part int, chunk int, a binary"), "windows", n)
 
 
 def _answers(scratch: Scratch, df: DataFrame, name: str, n: int) -> str:
@@ -204,17 +216,17 @@ def remove_repeats(spark: SparkSession, docs: DataFrame, doc_id: str = "doc_id",
         replies = _read(folder, TaskContext.get().partitionId())
         for k, batch in enumerate(slices(batches, "text", CHUNK_BYTES)):
             chunk = Chunk(texts_of(batch, "text"), width)
-            found = replies.get(k, {}).values()
+            found = [*replies.get(k, {}).values()]
             often = np.sort(np.concatenate([_numbers(r["a"]) for r in found])) if found else np.zeros(0, np.uint64)
             a = chunk.hashes(0)
+            same_chunk(found, a)
             at = np.minimum(np.searchsorted(often, a), max(len(often) - 1, 0))
             hit = chunk.place[often[at] == a] if len(often) else chunk.place[:0]
-            cover = np.zeros(len(chunk.codes) + 1, np.int64)
+            cover = np.zeros(len(chunk.words) + 1, np.int64)
             cover[hit] += 1
             cover[hit + width] -= 1
             gone = np.cumsum(cover[:-1]) > 0
-            words, start = chunk.words, chunk.start.tolist()
-            kept = [b" ".join([words[c] for c in chunk.codes[i:j][~gone[i:j]].tolist()]) for i, j in zip(start, start[1:], strict=False)]
+            kept = chunk.words.kept(gone)
             lost = np.concatenate([[0], np.cumsum(gone)])
             columns = [batch.column("doc_id"), pa.array(np.diff(chunk.start)), pa.array(lost[chunk.start[1:]] - lost[chunk.start[:-1]]), pa.array([hashlib.sha256(t).hexdigest() for t in kept], pa.string())]
             names = ["doc_id", "n_words", "n_removed", "kept_sha256"]
