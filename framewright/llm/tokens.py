@@ -15,7 +15,7 @@ from pyspark.sql import SparkSession
 #: A file that public_tokenizers.path() finds, or a full path.
 TOKENIZER = "byte_bpe_50k.json"
 #: Chunks kept in a worker's cache; it starts anew beyond that.
-CACHE_CHUNKS = 500_000
+CACHE_CHUNKS = 1_200_000
 #: Pieces that the library encodes in one call.
 CALL = 512
 
@@ -57,7 +57,7 @@ class ChunkEncoder:
         k = self.dtype.itemsize
         for i in range(0, len(pieces), CALL):
             some = pieces[i : i + CALL]
-            spelt = [p.encode().decode("latin-1").translate(self.alphabet) for p in some]
+            spelt = ["\u0120" + p[1:] if p[0] == " " and p.isascii() and p[1:].isalpha() else p.encode().decode("latin-1").translate(self.alphabet) for p in some]
             ids = np.array(self.tokenizer.encode_batch_fast(["\n".join(spelt)], add_special_tokens=False)[0].ids, self.dtype)
             ends = k * (np.searchsorted(np.cumsum(self.size[ids]), np.cumsum([len(s) for s in spelt]), side="left") + 1)
             raw, at = ids.tobytes(), 0
