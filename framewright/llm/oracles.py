@@ -65,7 +65,7 @@ m AS (
   FROM d LEFT JOIN covered USING (doc_id) LEFT JOIN lines USING (doc_id)),
 f AS (
   SELECT *, (CASE WHEN n_words < 10 THEN 1 ELSE 0 END + CASE WHEN 100 * n_repeat_words > 20 * n_words THEN 2 ELSE 0 END
-    + CASE WHEN 100 * n_symbols > 20 * n_words THEN 4 ELSE 0 END + CASE WHEN 100 * n_dup_lines > 30 * n_lines THEN 8 ELSE 0 END
+    + CASE WHEN 100 * n_symbols > 20 * n_words THEN 4 ELSE 0 END + CASE WHEN n_dup_lines > 2 AND 100 * n_dup_lines > 30 * n_lines THEN 8 ELSE 0 END
     + CASE WHEN n_words > 0 AND word_chars < 2 * n_words THEN 16 ELSE 0 END + CASE WHEN word_chars > 25 * n_words THEN 32 ELSE 0 END
     + CASE WHEN 100 * n_upper > 50 * word_chars THEN 64 ELSE 0 END + CASE WHEN n_words = 0 THEN 128 ELSE 0 END)::BIGINT AS failures FROM m)
 SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, (failures & 3) <> 0 AS base_failed, failures = 0 AS kept, n_lines, n_upper, failures FROM f

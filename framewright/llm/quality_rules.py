@@ -22,7 +22,7 @@ def rules() -> dict[str, Column]:
         "few_words": n < 10,
         "repeated_words": share("n_repeat_words", 20, "n_words"),
         "symbols": share("n_symbols", 20, "n_words"),
-        "repeated_lines": share("n_dup_lines", 30, "n_lines"),
+        "repeated_lines": (F.col("n_dup_lines") > 2) & share("n_dup_lines", 30, "n_lines"),  # of three lines, two may well be one
         "short_words": (n > 0) & (F.col("word_chars") < 2 * n),
         "long_words": F.col("word_chars") > 25 * n,
         "shouting": share("n_upper", 50, "word_chars"),
