@@ -8,6 +8,8 @@ from functools import cached_property
 
 from pyspark.sql import DataFrame, SparkSession
 
+from .. import ship
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
 TABLES = ("region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events", "documents", "embeddings", "pages", "benchmark", "labels", "conversations")
@@ -40,7 +42,11 @@ def query(name: str, sql: str | None = None) -> Callable:
     """Registers a function of Tables under a name, with the SQL that gives the same rows."""
 
     def add(f: Callable[[Tables], DataFrame]) -> Callable:
-        QUERIES[name] = lambda spark, folder: f(Tables(spark, folder))
+        def run(spark: SparkSession, folder: str) -> DataFrame:
+            ship(spark)
+            return f(Tables(spark, folder))
+
+        QUERIES[name] = run
         if sql:
             ORACLES[name] = sql
         return f
