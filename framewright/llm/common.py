@@ -21,6 +21,7 @@ SLICE_BYTES = 4 << 20
 SPACE_CLASS = r"\x20\x09-\x0D"
 
 _open: dict[str, list[Scratch]] = {}
+_owners: list[str] = []
 
 
 def shared_dir(spark: SparkSession) -> str:
@@ -49,7 +50,7 @@ class Scratch:
 
     def __init__(self, spark: SparkSession, owner: str) -> None:
         self.spark, self.uri = spark, f"{shared_dir(spark)}/{owner}-{uuid.uuid4().hex[:12]}"
-        _open.setdefault(owner, []).append(self)
+        _open.setdefault(_owners[-1] if _owners else owner, []).append(self)
 
     def table(self, df: DataFrame, name: str) -> DataFrame:
         """Writes df as Parquet and returns a frame that reads it back."""
@@ -63,11 +64,21 @@ def free(owner: str) -> None:
         delete(scratch.uri)
 
 
-def adopt(owner: str, new: str) -> None:
-    """Hands one owner's folders to another, which frees them."""
+def hand_over(owner: str, new: str) -> None:
+    """Gives one owner's folders to another, whose results still need them."""
     _open.setdefault(new, []).extend(_open.pop(owner, []))
 
 
+@contextlib.contextmanager
+def owned(owner: str) -> Iterator[None]:
+    """Folders begun inside belong to this owner, whichever operator begins them."""
+    _owners.append(owner)
+    try:
+        yield
+    finally:
+        _owners.pop()
+
+
 atexit.register(lambda: [free(x) for x in [*_open]])
 
 
