@@ -2,48 +2,55 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+from contextlib import contextmanager
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from framewright import ship
 from framewright.llm import common, decontaminate, line_dedup, near_dedup, packing, toxicity
 
 
-def _begin() -> None:
-    """By now the result before has been written, so what its operator left in the shared folder can go."""
-    for owner in ("near_dedup", "line_dedup", "decontaminate", "packing"):
-        common.free(owner)
+@contextmanager
+def stage(spark: SparkSession) -> Iterator[None]:
+    """Executors have the package; the result before has been written by now, so what its operator left in the shared folder goes."""
+    ship(spark)
+    common.free("stage")
+    with common.owned("stage"):
+        yield
 
 
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the grammar doesn't reject. It is taught by the labels and the documents of sf_dir."""
-    _begin()
-    grammar = toxicity.fit(spark.read.parquet(f"{sf_dir}/documents.parquet"), spark.read.parquet(f"{sf_dir}/labels.parquet"))
-    return toxicity.without_toxic(docs, grammar)
+    with stage(spark):
+        grammar = toxicity.fit(spark.read.parquet(f"{sf_dir}/documents.parquet"), spark.read.parquet(f"{sf_dir}/labels.parquet"))
+        return toxicity.without_toxic(docs, grammar)
 
 
 def drop_repeated_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """All documents, without later copies of runs of lines; n_chars follows the text."""
-    _begin()
-    left = line_dedup.dedup_lines(spark, docs)
+    with stage(spark):
+        left = line_dedup.dedup_lines(spark, docs)
     return left.withColumn("n_chars", F.coalesce(F.length("text").cast("long"), "n_chars"))
 
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of near copies."""
-    _begin()
-    return near_dedup.one_of_each(spark, docs)
+    with stage(spark):
+        return near_dedup.one_of_each(spark, docs)
 
 
 def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents of which less than a twentieth lies in passages of test items."""
-    _begin()
-    return decontaminate.without_contaminated(spark, docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
+    with stage(spark):
+        return decontaminate.without_contaminated(spark, docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
 
 
 def pack_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Pieces of all documents, placed in sequences of at most 1024 tokens."""
-    _begin()
-    return packing.pack(spark, docs)
+    with stage(spark):
+        return packing.pack(spark, docs)
 
 
 STAGES = [
@@ -62,6 +69,8 @@ def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All stages over the documents of sf_dir, each stage's rows written to the shared folder and read again."""
     scratch = common.Scratch(spark, "pipeline")
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
-    for name, stage in STAGES[:-1]:
-        docs = scratch.table(stage(spark, docs, sf_dir), name)
-    return STAGES[-1][1](spark, docs, sf_dir)
+    for name, f in STAGES[:-1]:
+        docs = scratch.table(f(spark, docs, sf_dir), name)
+    packed = STAGES[-1][1](spark, docs, sf_dir)
+    common.hand_over("stage", "pipeline")
+    return packed
