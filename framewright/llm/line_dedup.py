@@ -83,15 +83,39 @@ def suffix_ranks(scratch: Scratch, lines: DataFrame, depth: int) -> DataFrame:
     return ranks
 
 
-def later_copies(ranks: DataFrame, depth: int) -> DataFrame:
-    """(id, th, gone): the lines of each document that lie in a run of `depth` lines of which an earlier place has a copy."""
+def later_places(scratch: Scratch, ranks: DataFrame) -> DataFrame:
+    """(id, th, k, first): places of intervals of the suffix array that aren't the first of their interval, with that one."""
     place = F.struct(*KEY, "k")
-    first = ranks.groupBy("r").agg(F.min(place).alias("first"))
-    later = ranks.join(first, "r").filter(place > F.col("first"))
+    # written, so that the join deals out both sides itself and can split a rank that many places share
+    first = scratch.table(ranks.groupBy("r").agg(F.min(place).alias("first")), "first")
+    return ranks.join(first, "r").filter(place > F.col("first")).select(*KEY, "k", "first")
+
+
+def later_copies(later: DataFrame, depth: int) -> DataFrame:
+    """(id, th, gone): the lines of each document that lie in a run of `depth` lines of which an earlier place has a copy."""
     lines = later.select(*KEY, F.explode(F.sequence("k", F.col("k") + (depth - 1))).alias("k"))
     return lines.groupBy(*KEY).agg(F.sort_array(F.collect_set("k")).alias("gone"))
 
 
+def maximal_runs(later: DataFrame, depth: int) -> DataFrame:
+    """(id, th, k, n_lines, copy_id, copy_k): maximal runs of lines that stand at an earlier place too, which is given.
+
+    Prefixes that follow each other in a document as their first copies do belong to one run.
+    """
+    shift = F.col("k") - F.col("first.k")
+    flat = later.select(*KEY, "k", F.col("first.id").alias("copy_id"), F.col("first.th").alias("copy_th"), shift.alias("shift"))
+    by = [*KEY, "copy_id", "copy_th", "shift"]
+    island = F.col("k") - F.row_number().over(Window.partitionBy(*by).orderBy("k"))
+    runs = flat.withColumn("island", island).groupBy(*by, "island").agg(F.min("k").alias("k"), F.count("*").alias("n"))
+    return runs.select(*KEY, "k", (F.col("n") + (depth - 1)).alias("n_lines"), "copy_id", (F.col("k") - F.col("shift")).alias("copy_k"))
+
+
+def repeated_runs(spark: SparkSession, docs: DataFrame, doc_id: str = "doc_id", text: str = "text", min_lines: int = 2) -> DataFrame:
+    """The maximal repeated runs of lines of docs, each with its earliest copy; k counts lines with a word."""
+    scratch = Scratch(spark, "line_dedup")
+    return maximal_runs(later_places(scratch, suffix_ranks(scratch, line_ids(docs, doc_id, text), min_lines)), min_lines)
+
+
 def _without(text: bytes, gone: list[int]) -> tuple[bytes, int]:
     """The text without the given of its lines with words, and how many such lines it has."""
     lines = text.split(b"\n")
@@ -110,7 +134,7 @@ def dedup_lines(spark: SparkSession, docs: DataFrame, doc_id: str = "doc_id", te
     """
     scratch = Scratch(spark, "line_dedup")
     ranks = suffix_ranks(scratch, line_ids(docs, doc_id, text), min_lines)
-    gone = scratch.table(later_copies(ranks, min_lines), "gone")
+    gone = scratch.table(later_copies(later_places(scratch, ranks), min_lines), "gone")
     names = [f"_{i}" for i in range(len(docs.columns))]
     wanted = [docs.columns.index(doc_id), docs.columns.index(text)] if digest else [*range(len(names))]
     at = names[docs.columns.index(text)]

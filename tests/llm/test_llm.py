@@ -304,6 +304,12 @@ def test_line_runs(spark, m):
     assert sorted((r.doc_id, r.text) for r in got) == sorted((i, want[i, t]) for i, t in pairs)
 
 
+def test_maximal_runs(spark):
+    pairs = [(1, "a\nb\nc\nd"), (2, "x\na\nb\nc\ny\nc\nd"), (3, "a\nb\nc\nd")]
+    got = line_dedup.repeated_runs(spark, spark.createDataFrame(pairs, "doc_id long, text string")).collect()
+    assert sorted((r.id, r.k, r.n_lines, r.copy_id, r.copy_k) for r in got) == [(2, 1, 3, 1, 0), (2, 5, 2, 1, 2), (3, 0, 4, 1, 0)]
+
+
 def test_line_dedup_edges(spark, edge, none):
     got = line_dedup.dedup_lines(spark, edge)
     assert got.columns == edge.columns
