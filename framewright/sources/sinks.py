@@ -2,16 +2,33 @@
 
 from __future__ import annotations
 
+import atexit
+import contextlib
 import uuid
 from collections.abc import Callable
 
+import pyarrow as pa
+from pyarrow import fs as pafs
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 
+_made: list[str] = []
+
+
 def scratch(spark: SparkSession, name: str) -> str:
-    """A new path in the folder that the cluster shares; a local one only where the session names none."""
-    return f"{(spark.conf.get('spark.checkpoint.dir', None) or 'file:///tmp/checkpoints').rstrip('/')}/{name}-{uuid.uuid4().hex[:12]}"
+    """A new path in the folder that the cluster shares, deleted when the driver ends; a local one only where the session names none."""
+    base = (spark.conf.get("spark.checkpoint.dir", None) or "file:///tmp/checkpoints").rstrip("/")
+    _made.append(path := f"{base}/{name}-{uuid.uuid4().hex[:12]}")
+    return path
+
+
+@atexit.register
+def _clean() -> None:
+    for path in _made:
+        with contextlib.suppress(OSError, pa.ArrowInvalid):
+            filesystem, at = pafs.FileSystem.from_uri(path if "://" in path else f"file://{path}")
+            filesystem.delete_dir(at)
 
 
 def publish(df: DataFrame, path: str, audit: Callable[[DataFrame], None], fmt: str = "json") -> None:
