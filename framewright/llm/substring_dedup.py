@@ -152,15 +152,16 @@ def repeated_windows(scratch: Scratch, docs: DataFrame, text: str, width: int) -
         for k, batch in enumerate(slices(batches, text, CHUNK_BYTES)):
             chunk = Chunk(texts_of(batch, text), width)
             a = chunk.hashes(0)
-            held, live, digest = replies.get(k, {}), np.arange(len(a)), digest_of(a)
+            held, digest, maybe = replies.get(k, {}), digest_of(a), np.ones(len(a), bool)
             same_chunk(held.values(), a)
             for r in range(ROWS):  # estimated repeated: every row's cell is
-                cells = np.unique(cells_of(a, r, bits))
-                bit = [np.unpackbits(np.frombuffer(held[s][f"m{r}"], np.uint8), count=len(p)) for s, p in enumerate(_by_shard(cells, bits)) if len(p)]
-                often = cells[np.concatenate(bit) == 1] if bit else cells
-                mine = cells_of(a[live], r, bits)
-                at = np.minimum(np.searchsorted(often, mine), max(len(often) - 1, 0))
-                live = live[often[at] == mine] if len(often) else live[:0]
+                cells = cells_of(a, r, bits)
+                order = np.argsort(cells)
+                new = np.concatenate([np.ones(min(1, len(a)), bool), np.diff(cells[order]) != 0])
+                parts = [len(p) for p in _by_shard(cells[order][new], bits)]
+                bit = [np.unpackbits(np.frombuffer(held[s][f"m{r}"], np.uint8), count=n) for s, n in enumerate(parts) if n]
+                maybe[order] &= np.concatenate(bit).astype(bool)[np.cumsum(new) - 1] if bit else False
+            live = np.flatnonzero(maybe)
             a, b = a[live], chunk.hashes(1)[live]
             order = np.lexsort((b, a))
             a, b = a[order], b[order]
