@@ -79,7 +79,7 @@ class ChunkEncoder:
         split = pc.split_pattern(column, " ")
         offsets = split.offsets.to_numpy()
         coded = split.flatten().dictionary_encode()
-        code, words = coded.indices.to_numpy().astype(np.int64), coded.dictionary.to_pylist()
+        code, words = coded.indices.to_numpy().astype(np.int64), coded.dictionary.to_numpy(zero_copy_only=False).tolist()
         # the first fragment of a text has no space before it: it is a chunk of its own
         first, at = offsets[:-1], len(words)
         heads = dict.fromkeys(words[k] for k in code[first].tolist())
@@ -93,7 +93,8 @@ class ChunkEncoder:
         if len(self.cache) > CACHE_CHUNKS:
             self.cache = {"": b""}
         cache = self.cache
-        self._learn([c for c in {*chunks, *(c for p in parts.values() for c in p)} if c not in cache])
+        self._learn([c for c in chunks if c not in cache])
+        self._learn([c for c in {c for p in parts.values() for c in p} if c not in cache])
         spelt = [cache[c] for c in chunks]
         size = np.fromiter(map(len, spelt), np.int64, len(spelt)) // self.dtype.itemsize
         flat, start = np.frombuffer(b"".join(spelt), self.dtype), np.cumsum(size) - size
