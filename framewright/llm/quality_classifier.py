@@ -60,7 +60,9 @@ def features(text: bytes) -> tuple[np.ndarray, np.ndarray]:
     distinct = len(set(words))
     grade("words", math.log2(n + 1), 1.0)
     grade("distinct", 8 * distinct / max(n, 1))
-    grade("again", 8 * sum(map(bytes.__eq__, words, words[1:])) / max(n, 1))
+    again = sum(map(bytes.__eq__, words, words[1:])) / max(n, 1)
+    grade("again", 8 * again)
+    grade("stutter", again > 0.3, 6.0)
     grade("lines", 8 * len(set(lines)) / max(len(lines), 1))
     grade("line", math.log2(n / max(len(lines), 1) + 1), 1.0)
     size = max(len(text), 1)
