@@ -26,9 +26,22 @@ def sample_id(*parts: Column | str) -> Column:
     return F.concat_ws("|", *parts)
 
 
+#: The wording that a trained model expects around an instruction.
+OPENING, CLOSING = "<s> You are a helpful assistant. USER: ", " ASSISTANT:"
+QUESTION = "What action should the robot take to `"
+
+
+def stripped(c: Column) -> Column:
+    """Without white space at both ends, of any script."""
+    return F.regexp_replace(c, "(?U)^\\s+|\\s+$", "")
+
+
+def chat(message: Column) -> Column:
+    return F.concat(F.lit(OPENING), message, F.lit(CLOSING))
+
+
 def prompt(instruction: Column) -> Column:
-    """The wording that a trained model expects around an instruction."""
-    return F.concat(F.lit("What action should the robot take to `"), F.trim(instruction), F.lit("`"))
+    return chat(F.concat(F.lit(QUESTION), stripped(instruction), F.lit("`")))
 
 
 def without_image_tag(c: Column) -> Column:

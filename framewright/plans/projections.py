@@ -31,15 +31,15 @@ def p3(t: Tables) -> DataFrame:
     return t.frames.select(F.concat_ws("_", "episode", "frame").alias("id"), "instruction", F.col("value").alias("vision"))
 
 
-@query("p4_prompt", "SELECT conv_id, turn, concat('What action should the robot take to `', trim(text, ' '), '`') AS prompt FROM conversations")
+@query("p4_prompt", "SELECT conv_id, turn, concat('<s> You are a helpful assistant. USER: What action should the robot take to `', trim(text, ' ' || chr(9) || chr(10) || chr(13)), '` ASSISTANT:') AS prompt FROM conversations")
 def p4(t: Tables) -> DataFrame:
     return t.conversations.select("conv_id", "turn", text.prompt(F.col("text")).alias("prompt"))
 
 
-@query("p5_strip_image_tag", "SELECT conv_id, turn, concat('What action should the robot take to `', trim(replace(concat('<image>' || chr(10), text), '<image>' || chr(10), ''), ' '), '`') AS prompt FROM conversations")
+@query("p5_strip_image_tag", "SELECT conv_id, turn, concat('<s> You are a helpful assistant. USER: ', text, ' ASSISTANT:') AS prompt FROM conversations")
 def p5(t: Tables) -> DataFrame:
     tagged = F.concat(F.lit("<image>\n"), "text")
-    return t.conversations.select("conv_id", "turn", text.prompt(text.without_image_tag(tagged)).alias("prompt"))
+    return t.conversations.select("conv_id", "turn", text.chat(text.without_image_tag(tagged)).alias("prompt"))
 
 
 @query("p6_sample_ids", f"WITH {FRAMES} SELECT concat_ws('|', instruction, episode::VARCHAR, frame::VARCHAR) AS id, concat_ws('_', episode::VARCHAR, frame::VARCHAR) AS short_id FROM f")
