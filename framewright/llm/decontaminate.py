@@ -34,15 +34,16 @@ def words_of(text: bytes) -> list[bytes]:
 def suffix_array(s: np.ndarray) -> np.ndarray:
     """Order of the suffixes of s, by doubling of sorted prefixes."""
     n = len(s)
-    rank = np.unique(s, return_inverse=True)[1].astype(np.int64)
+    rank = s.astype(np.int64)
     k = 1
     while True:
         second = np.zeros(n, np.int64)
         second[: max(0, n - k)] = rank[k:] + 1
         key = rank * (n + 1) + second
-        order = np.argsort(key, kind="stable")
+        order = np.argsort(key)
+        key = key[order]
         rank = np.empty(n, np.int64)
-        rank[order] = np.cumsum(np.concatenate([[0], key[order][1:] != key[order][:-1]]))
+        rank[order] = np.cumsum(np.concatenate([[0], key[1:] != key[:-1]]))
         if n == 0 or rank[order[-1]] == n - 1:
             return order
         k *= 2

@@ -261,4 +261,5 @@ def pack(spark: SparkSession, docs: DataFrame, capacity: int = 1024, nodes: int
 
     before = F.sum("n").over(Window.partitionBy("length").orderBy("part").rowsBetween(Window.unboundedPreceding, -1))
     ranked = per_part.select("part", "length", F.coalesce(before, F.lit(0)).alias("before"))
-    return pieces.join(ranked, ["part", "length"]).mapInArrow(assign, "doc_id long, piece int, start long, length long, ids_crc32 long, sequence_id long, offset long")
+    # the counts grow with the number of tasks, so they are no table to broadcast
+    return pieces.join(ranked.hint("merge"), ["part", "length"]).mapInArrow(assign, "doc_id long, piece int, start long, length long, ids_crc32 long, sequence_id long, offset long")
