@@ -14,8 +14,9 @@ def quantile_edges(df: DataFrame, columns: list[str], bins: int) -> DataFrame:
 
 
 def assign_bin(x: Column, edges: Column) -> Column:
-    """Left-closed bin; below the first edge is bin 0, from the last edge on the last bin."""
-    return F.least(F.greatest(F.size(F.filter(edges, lambda e: e <= x)) - 1, F.lit(0)), F.size(edges) - 2)
+    """Left-closed bin; below the first edge is bin 0, from the last edge on the last bin; null where x is no number."""
+    place = F.least(F.greatest(F.size(F.filter(edges, lambda e: e <= x)) - 1, F.lit(0)), F.size(edges) - 2)
+    return F.when(x.isNotNull() & ~F.isnan(x.cast("double")), place)
 
 
 def bin_middle(edges: Column, i: Column) -> Column:

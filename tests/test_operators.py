@@ -72,8 +72,8 @@ def test_audit_gate(spark):
 
 def test_bins(spark):
     e = F.array(*(F.lit(float(x)) for x in range(4)))
-    got = spark.createDataFrame([(x,) for x in (-1.0, 0.0, 1.0, 2.5, 3.0, 9.0)], "x double").select(numeric.assign_bin(F.col("x"), e).alias("b"))
-    assert [r.b for r in got.collect()] == [0, 0, 1, 2, 2, 2]
+    got = spark.createDataFrame([(x,) for x in (-1.0, 0.0, 1.0, 2.5, 3.0, 9.0, float("nan"), None)], "x double").select(numeric.assign_bin(F.col("x"), e).alias("b"))
+    assert [r.b for r in got.collect()] == [0, 0, 1, 2, 2, 2, None, None]
     assert tuple(spark.range(1).select(*(numeric.bin_middle(e, F.lit(i)) for i in (0, 2, 3))).first()) == (0.5, 2.5, 1.0)
 
 
