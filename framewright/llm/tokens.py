@@ -15,7 +15,7 @@ from pyspark.sql import SparkSession
 #: A file that public_tokenizers.path() finds, or a full path.
 TOKENIZER = "byte_bpe_50k.json"
 #: Chunks kept in a worker's cache; it starts anew beyond that.
-CACHE_CHUNKS = 1_200_000
+CACHE_CHUNKS = 800_000
 #: Pieces that the library encodes in one call.
 CALL = 512
 

@@ -138,7 +138,7 @@ class Grammar:
         """Sum over the clauses that have an insult or a threat."""
         total, clause, live = 0.0, [], False
         known, look_up = self.known, self.look_up
-        if len(known) > 300_000:
+        if len(known) > 150_000:
             known.clear()
         for word in _TOKEN.findall(text.lower()):
             if word in _END:
