@@ -31,7 +31,7 @@ def op4_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op5_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return token_counts.context_totals(token_counts.length_histogram(_table(spark, sf_dir, "documents")))
+    return token_counts.token_totals(spark, _table(spark, sf_dir, "documents"))
 
 
 def op6_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:

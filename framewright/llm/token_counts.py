@@ -6,10 +6,10 @@ from collections import Counter
 from collections.abc import Iterable, Iterator
 
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from .common import slices, texts_of
+from .common import Scratch, slices, texts_of
 from .tokens import TOKENIZER, encoder
 
 #: Lengths whose suffix sums one task adds up; blocks are summed on their own.
@@ -58,3 +58,8 @@ def context_totals(histogram: DataFrame) -> DataFrame:
         up_to.alias("docs_up_to"),
         (up_to / F.col("all_d")).alias("quantile"),
     )
+
+
+def token_totals(spark: SparkSession, docs: DataFrame, text: str = "text", tokenizer: str = TOKENIZER, end_tokens: int = 1) -> DataFrame:
+    """context_totals of docs. The histogram is written first, as it is read twice and the texts shall be encoded once."""
+    return context_totals(Scratch(spark, "token_counts").table(length_histogram(docs, text, tokenizer, end_tokens), "histogram"))
