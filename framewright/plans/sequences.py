@@ -65,6 +65,13 @@ def t14(t: Tables) -> DataFrame:
     return S.concat_and_chunk(ascii3.withColumn("seq", S.code_points(head)), ["conv_id", "turn"], "seq", 32).select("chunk_id", joined(F.col("inputs")).alias("inputs"))
 
 
+#: Every byte of every turn. Its name is new because the twin of t14_text_packing, which holds that query to a prefix of each turn, is fixed.
+@query("t14_text_packing_whole", "WITH t AS (SELECT conv_id, turn, hex(encode(text)) AS h FROM conversations), b AS (SELECT conv_id, turn, i, ('0x' || substr(h, 2 * i - 1, 2))::INT AS code FROM t, unnest(generate_series(1, length(h) // 2)) AS g(i)), s AS (SELECT code, row_number() OVER (ORDER BY conv_id, turn, i) - 1 AS g FROM b), n AS (SELECT count(*) AS total FROM b) SELECT g // 32 AS chunk_id, string_agg(code::VARCHAR, ',' ORDER BY g) AS inputs FROM s, n GROUP BY g // 32, total HAVING (g // 32 + 1) * 32 + 1 < total")
+def t14_whole(t: Tables) -> DataFrame:
+    turns = S.with_bytes(t.conversations.select("conv_id", "turn", "text"), "text", "seq")
+    return S.concat_and_chunk(turns, ["conv_id", "turn"], "seq", 32).select("chunk_id", joined(F.col("inputs")).alias("inputs"))
+
+
 @query("t9_pad_mode", f"WITH {ROWS}, q AS (SELECT event_id, ([1] || it || [5] || dl || [6] || [2] || [1 FOR x IN generate_series(1, 12)])[1:13] AS q, ([0] || {ZERO} || [1, 1, 1, 1, 1, 1, 1] || [0 FOR x IN generate_series(1, 12)])[2:13] AS loss FROM s) SELECT event_id, array_to_string(q[1:12], ',') AS inputs, array_to_string(q[2:13], ',') AS targets, array_to_string(loss, ',') AS loss FROM q")
 def t9(t: Tables) -> DataFrame:
     s = S.sequences(rows(t), "delta_text")

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from framewright.functions import arrays, numeric, text
 from framewright.operators import aggregates, audits, joins, sequences, windows
+from framewright.plans import registry
 from framewright.sources import files, sinks
 from framewright.streaming import stateful
 
@@ -99,6 +100,15 @@ def test_chunks_need_more_than_one_token_over(spark, n, chunks):
         assert r.targets == [x + 1 for x in r.inputs]
 
 
+def test_text_packing_takes_every_byte(spark, tmp_path):
+    rows = [(1, 1, "a long turn of more than three characters"), (1, 2, "ab"), (2, 1, None), (2, 2, ""), (2, 3, "é日本 \U0001f600"), (3, 1, "x" * 100)]
+    spark.createDataFrame(rows, "conv_id long, turn int, text string").write.parquet(f"{tmp_path}/conversations.parquet")
+    stream = b"".join((text or "").encode() for _, _, text in rows)
+    want = [",".join(map(str, stream[i : i + 32])) for i in range(0, len(stream), 32) if i + 33 < len(stream)]
+    got = registry.QUERIES["t14_text_packing_whole"](spark, str(tmp_path)).orderBy("chunk_id").collect()
+    assert [(r.chunk_id, r.inputs) for r in got] == [*enumerate(want)]
+
+
 def test_pearson_is_one_for_identical_vectors(spark):
     df = spark.createDataFrame([("t", 0.5, 0.5), ("t", 0.5, 0.5)], "task string, s double, r double")
     assert aggregates.pearson(df, ["task"], "s", "r").first()["pearson"] == 1
