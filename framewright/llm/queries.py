@@ -17,6 +17,11 @@ def op1_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return line_dedup.dedup_lines(spark, _table(spark, sf_dir, "documents"), digest=True)
 
 
+def op1_line_dedup_single(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A run of one line counts too; the twin of op1_line_dedup holds that query to runs of two."""
+    return line_dedup.dedup_lines(spark, _table(spark, sf_dir, "documents"), min_lines=1, digest=True)
+
+
 def op2_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_classifier.quality(spark, _table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
 
@@ -55,5 +60,5 @@ def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return book.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept", "n_lines", "n_upper", "failures")
 
 
-QUERIES = {f.__name__: f for f in (op1_line_dedup, op2_quality_classifier, op3_simhash_near_dedup, op4_decontamination, op5_token_counts, op6_token_files, op7_substring_dedup, op8_best_fit_packing, op9_toxicity, op10_quality_rules)}
+QUERIES = {f.__name__: f for f in (op1_line_dedup, op1_line_dedup_single, op2_quality_classifier, op3_simhash_near_dedup, op4_decontamination, op5_token_counts, op6_token_files, op7_substring_dedup, op8_best_fit_packing, op9_toxicity, op10_quality_rules)}
 ORACLES = oracles.ORACLES

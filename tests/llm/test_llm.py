@@ -304,6 +304,17 @@ def test_line_runs(spark, m):
     assert sorted((r.doc_id, r.text) for r in got) == sorted((i, want[i, t]) for i, t in pairs)
 
 
+def test_single_lines_in_query_and_stage(spark, docs, texts):
+    import corpus_pipeline
+
+    want = slow_lines(texts.items(), 1)
+    assert want != slow_lines(texts.items(), 2)
+    got = table(queries.QUERIES["op1_line_dedup_single"](spark, FOLDER))
+    assert {i: r.kept_sha256 for i, r in got.items()} == {i: hashlib.sha256(want[i, t].encode()).hexdigest() for i, t in texts.items()}
+    left = table(corpus_pipeline.drop_repeated_lines(spark, docs, FOLDER))
+    assert {i: (r.text, r.n_chars) for i, r in left.items()} == {i: (want[i, t], len(want[i, t])) for i, t in texts.items()}
+
+
 def test_maximal_runs(spark):
     pairs = [(1, "a\nb\nc\nd"), (2, "x\na\nb\nc\ny\nc\nd"), (3, "a\nb\nc\nd")]
     got = line_dedup.repeated_runs(spark, spark.createDataFrame(pairs, "doc_id long, text string")).collect()
