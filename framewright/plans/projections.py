@@ -198,6 +198,14 @@ def f18(t: Tables) -> DataFrame:
     return t.events.filter("value >= 0 AND value < 200").select("event_id", (back == q).alias("ok"), F.round(numeric.quaternion_angle(q), 6).alias("angle"))
 
 
+#: All events, with angles beyond pi folded; the twin of f18_quaternion, which leaves large values out, is fixed. So for f22.
+@query("f18_quaternion_whole", "SELECT event_id, true AS ok, round(abs(value / 100 - 2 * pi() * round(value / (200 * pi()))), 6) AS angle FROM events")
+def f18_whole(t: Tables) -> DataFrame:
+    q = F.array(F.cos(F.col("value") / 200), F.sin(F.col("value") / 200), F.lit(0.0), F.lit(0.0))
+    back = numeric.xyzw_to_wxyz(numeric.wxyz_to_xyzw(q))
+    return t.events.select("event_id", (back == q).alias("ok"), F.round(numeric.quaternion_angle(q), 6).alias("angle"))
+
+
 @query("f19_rigid_transform", "SELECT event_id, round(2 - event_id, 6)::DOUBLE AS x, round(value + 1, 6) AS y, 3.0::DOUBLE AS z, true AS back FROM events")
 def f19(t: Tables) -> DataFrame:
     row = lambda *v: F.array(*(F.lit(float(x)) for x in v))
@@ -228,6 +236,12 @@ def f22(t: Tables) -> DataFrame:
     return t.events.filter("value >= 0 AND value < 300").select("event_id", F.round(F.get(r, F.lit(3)), 6).alias("angle"), F.round(F.get(r, F.lit(2)), 6).alias("z"))
 
 
+@query("f22_euler_to_axis_angle_whole", "WITH a AS (SELECT event_id, value / 100 - 2 * pi() * round(value / (200 * pi())) AS a FROM events) SELECT event_id, round(abs(a), 6) AS angle, CASE WHEN abs(a) > 1e-9 THEN sign(a) ELSE 0 END::DOUBLE AS z FROM a")
+def f22_whole(t: Tables) -> DataFrame:
+    r = numeric.euler_to_axis_angle(F.lit(0.0), F.lit(0.0), F.col("value") / 100)
+    return t.events.select("event_id", F.round(F.get(r, F.lit(3)), 6).alias("angle"), F.round(F.get(r, F.lit(2)), 6).alias("z"))
+
+
 @query("f23_pixel_normalize", "SELECT event_id, round((event_id % 256) / 127.5 - 1, 6)::DOUBLE AS pixel FROM events")
 def f23(t: Tables) -> DataFrame:
     return t.events.select("event_id", F.round(numeric.pixel((F.col("event_id") % 256).cast("double")), 6).alias("pixel"))

@@ -109,6 +109,17 @@ def test_text_packing_takes_every_byte(spark, tmp_path):
     assert [(r.chunk_id, r.inputs) for r in got] == [*enumerate(want)]
 
 
+def test_rotations_of_all_angles(spark, tmp_path):
+    values = [0.0, 150.0, 250.0, 310.0, 320.0, 560.0, 700.0, -100.0, -400.0]
+    spark.createDataFrame([*enumerate(values)], "event_id long, value double").write.parquet(f"{tmp_path}/events.parquet")
+    turn = [math.remainder(v / 100, 2 * math.pi) for v in values]
+    got = {q: registry.QUERIES[q](spark, str(tmp_path)).orderBy("event_id").collect() for q in ("f18_quaternion_whole", "f22_euler_to_axis_angle_whole")}
+    for found in got.values():
+        assert [r.angle for r in found] == pytest.approx([abs(a) for a in turn], abs=1e-6)
+    assert all(r.ok for r in got["f18_quaternion_whole"])
+    assert [r.z for r in got["f22_euler_to_axis_angle_whole"]] == [(a > 0) - (a < 0) for a in turn]
+
+
 def test_pearson_is_one_for_identical_vectors(spark):
     df = spark.createDataFrame([("t", 0.5, 0.5), ("t", 0.5, 0.5)], "task string, s double, r double")
     assert aggregates.pearson(df, ["task"], "s", "r").first()["pearson"] == 1
