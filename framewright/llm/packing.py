@@ -10,7 +10,7 @@ from __future__ import annotations
 import bisect
 import zlib
 from collections import Counter
-from collections.abc import Iterable, Iterator
+from collections.abc import Callable, Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -21,6 +21,12 @@ from pyspark.sql import functions as F
 from .common import Scratch, slices, texts_of
 from .tokens import TOKENIZER, encoder
 
+#: Fillings that a search tries; about a thousand reach the bound where it can be reached.
+NODES = 3_000
+
+#: Ways of up to `FEW` pieces come first, by their waste and a price for each piece: short pieces are worth keeping.
+PRICE, FEW = 12, 4
+
 Filling = tuple[int, ...]  # lengths in one sequence, longest first
 Packing = list[tuple[Filling, int]]  # fillings and how many sequences have each
 
@@ -81,72 +87,112 @@ def best_fit(counts: dict[int, int], capacity: int) -> Packing:
     return list(merged.items())
 
 
-def dominates(a: Filling, b: Filling) -> bool:
-    """Whether every piece of b fits into a piece of a, several into one if they fit together: b is then no better."""
-
-    def place(rooms: list[int], k: int) -> bool:
-        if k == len(b):
-            return True
-        tried = set()
-        for i, room in enumerate(rooms):
-            if room >= b[k] and room not in tried:
-                tried.add(room)
-                rooms[i] -= b[k]
-                if place(rooms, k + 1):
-                    return True
-                rooms[i] += b[k]
-        return False
-
-    return place(list(a), 0)
-
-
-def fillings(counts: np.ndarray, room: int, most: int) -> list[Filling]:
-    """Up to `most` undominated ways to fill the room with up to three pieces and best-fit after them, least waste first."""
-    there = np.flatnonzero(counts[: room + 1])
-    if not len(there):
-        return [()]
-    found: list[Filling] = []
-
-    def offer(filling: Filling) -> bool:
-        filling = tuple(sorted(filling, reverse=True))
-        if filling not in found and not any(sum(f) >= sum(filling) and dominates(f, filling) for f in found):
-            found.append(filling)
-        return len(found) >= most
-
-    def greedy(left: int, used: Filling) -> Filling:
-        for x in there[::-1].tolist():
-            while x <= left and counts[x] - used.count(x) > 0:
-                used, left = (*used, x), left - x
-        return used
-
-    present = set(there.tolist())
-    for waste in range(min(room, 3) + 1):
-        want = room - waste
-        if want in present and offer((want,)):
-            return found
-        for a in there[there >= -(-want // 2)][::-1].tolist():
-            b = want - a
-            if b in present and (a != b or counts[a] > 1) and offer((a, b)):
-                return found
-            if b > 1:
-                for c in there[(there <= min(a, b - 1)) & (there >= -(-b // 2))][-3:].tolist():
-                    d = b - c
-                    if d in present and min(counts[x] - (a, c, d).count(x) for x in (a, c, d)) >= 0 and offer((a, c, d)):
-                        return found
-    offer(greedy(room, ()))
-    for a in there[::-1].tolist():
-        if len(found) >= most:
-            break
-        offer(greedy(room - a, (a,)))
-    return sorted(found, key=lambda f: -sum(f))
-
-
-def bin_completion(counts: dict[int, int], capacity: int, nodes: int = 4_000, branches: int = 3) -> Packing:
+def _spread(bits: int, by: int) -> int:
+    """Every number that lies 0 to `by` above a number of the set."""
+    done = 0
+    while done < by:
+        step = min(done + 1, by - done)
+        bits |= bits << step
+        done += step
+    return bits
+
+
+class Fillings:
+    """The undominated fillings of a room from a stock of pieces, found one by one, least waste first.
+
+    A filling is dominated if one piece outside it can take the place of some of its pieces (or of none) at no more
+    room than is left: whatever a packing does with the first, it can do with the second. Sets of numbers are the
+    bits of integers.
+    """
+
+    def __init__(self, stock: np.ndarray, room: int) -> None:
+        self.room, self.count = room, stock[: room + 1].tolist()
+        self.lengths = [x for x in range(1, room + 1) if self.count[x]]
+        self.whole = (1 << (room + 1)) - 1
+        #: Sums of the pieces up to the k-th length.
+        self.reach = [1]
+        for x in self.lengths:
+            bits, left, step = self.reach[-1], min(self.count[x], room // x), 1
+            while left:  # 1, 2, 4 ... more of this length, `left` in all
+                k = min(step, left)
+                bits |= bits << (k * x)
+                left, step = left - k, 2 * step
+            self.reach.append(bits & self.whole)
+
+    def with_waste(self, waste: int, fewest: int, most: int) -> Iterator[Filling]:
+        """Those of `fewest` to `most` pieces that leave `waste` of the room, longer pieces first; what can't be undominated is given up at once."""
+        if waste > self.room or not self.reach[-1] >> (self.room - waste) & 1:
+            return
+        if waste == self.room:
+            if not self.lengths and not fewest:
+                yield ()
+            return
+        outside = sum(1 << x for x in self.lengths)
+        used = dict.fromkeys(self.lengths, 0)
+        filling: list[int] = []
+
+        def replaced(free: int, one: int, more: int) -> bool:
+            """Whether a piece outside takes the place of a piece that is shorter, or of several."""
+            return bool(free & _spread(more, waste) or (waste and free & _spread(one << 1, waste - 1)))
+
+        # sums of one piece, of two or more; `k`: lengths that may still be taken
+        def extend(left: int, k: int, free: int, one: int, more: int) -> Iterator[Filling]:
+            if not left:
+                if len(filling) >= fewest and (not waste or not free & ((2 << waste) - 1)):
+                    yield tuple(filling)
+                return
+            for i in range(bisect.bisect_right(self.lengths, left, 0, k) - 1, -1, -1):
+                x = self.lengths[i]
+                if not self.reach[i + 1] >> left & 1 or x * (most - len(filling)) < left:
+                    return  # shorter pieces reach even less
+                if used[x] == self.count[x] or not self.reach[i + 1] >> (left - x) & 1:
+                    continue
+                used[x] += 1
+                filling.append(x)
+                now = free & ~(1 << x) if used[x] == self.count[x] else free
+                new = more | ((one | more) << x)
+                if not replaced(now, one | 1 << x, new):
+                    yield from extend(left - x, i + 1, now, one | 1 << x, new)
+                filling.pop()
+                used[x] -= 1
+
+        yield from extend(self.room - waste, len(self.lengths), outside, 0, 0)
+
+
+def _ways(left: np.ndarray, capacity: int, spare: Callable[[], int]) -> Iterator[tuple[Filling, int]]:
+    """Fillings around the largest piece left and how often to take each: as often as the pieces last, then fewer times.
+
+    `spare` tells how much waste a packing may still have that needs fewer sequences than the best so far.
+    """
+    largest = int(np.flatnonzero(left)[-1])
+    rest = left.copy()
+    rest[largest] -= 1
+    room = capacity - largest
+    some = Fillings(rest, room)
+    wastes = range(min(room, spare()) + 1)  # more waste is never allowed later
+    order = sorted((waste + PRICE * n, waste, n, n) for n in range(FEW + 1) for waste in wastes) + [(0, waste, FEW + 1, room) for waste in wastes]
+    for whole in (True, False):
+        for _, waste, fewest, pieces in order:
+            if waste > spare():
+                continue
+            for way in some.with_waste(waste, fewest, pieces):
+                filling = (largest, *way)
+                most = min(int(left[x]) // k for x, k in Counter(filling).items())
+                if waste:
+                    most = min(most, spare() // waste)
+                yield from ((filling, times) for times in ([most] if whole else range(most - 1, 0, -1)) if times > 0)
+                if waste > spare():
+                    break
+
+
+def bin_completion(counts: dict[int, int], capacity: int, nodes: int | None = NODES) -> Packing:
     """Branch and bound: fill the sequence of the largest piece left in each undominated way, stop where waste exceeds the bound.
 
-    A way is taken as often as the counts allow at once. The best-fit packing is the first incumbent; a branch
-    ends when its waste shows that it can't need fewer sequences. `nodes` bounds the search, not the input: when
-    they are used up, the incumbent stands. Lengths are 1 to `capacity`; no pieces give no sequences.
+    The best-fit packing is the first incumbent; at each branch, so is the way there with a best fit of what is left.
+    A branch ends when its waste or the lower bound of what is left shows that it can't need fewer sequences. Branches
+    are searched in waves, those that take the first way nearly everywhere before others, until the lower bound is
+    reached or a wave has left no branch out: the incumbent then needs the fewest. `nodes` bounds the time where
+    neither happens soon; None searches to the end. Lengths are 1 to `capacity`; no pieces give no sequences.
     """
     incumbent = best_fit(counts, capacity)
     best, least = sum(n for _, n in incumbent), lower_bound(counts, capacity)
@@ -155,42 +201,43 @@ def bin_completion(counts: dict[int, int], capacity: int, nodes: int = 4_000, br
     for length, n in counts.items():
         start[length] = n
 
-    def children(left: np.ndarray) -> list[tuple[Filling, int]]:
-        largest = int(np.flatnonzero(left)[-1])
-        left[largest] -= 1
-        ways = fillings(left, capacity - largest, branches)
-        left[largest] += 1
-        out = []
-        for way in ways:
-            uses = Counter((largest, *way))
-            out.append(((largest, *way), min(int(left[x]) // k for x, k in uses.items())))
-        return out
-
-    # a frame: counts left, sequences so far, waste so far, ways not yet tried; `path` has the way taken at each frame
-    path: Packing = []
-    stack = [(start, 0, 0, iter(children(start) if total else []))] if best > least else []
-    while stack and nodes > 0 and best > least:
-        left, used, waste, ways = stack[-1]
-        way = next(ways, None)
-        if way is None:
-            stack.pop()
-            if path:
-                path.pop()
-            continue
-        nodes -= 1
-        filling, times = way
-        wasted = waste + times * (capacity - sum(filling))
-        if -(-(total + wasted) // capacity) >= best:
-            continue
-        after = left.copy()
-        for x, k in Counter(filling).items():
-            after[x] -= k * times
-        if not after.any():
-            if used + times < best:
-                best, incumbent = used + times, [*path, way]
-            continue
-        path.append(way)
-        stack.append((after, used + times, wasted, iter(children(after))))
+    def ways(left: np.ndarray, wasted: int) -> Iterator[tuple[Filling, int]]:
+        return _ways(left, capacity, lambda: (best - 1) * capacity - total - wasted)
+
+    wave, all_tried = 0, False
+    while best > least and not all_tried and nodes != 0:
+        all_tried = True
+        # a frame: pieces left, sequences so far, waste so far, ways not yet tried, how many of these may be passed over
+        path: Packing = []
+        stack = [(start, 0, 0, ways(start, 0), wave)]
+        while stack and best > least and nodes != 0:
+            left, used, waste, rest, pass_over = stack[-1]
+            way = next(rest, None) if pass_over >= 0 else None
+            if way is None:
+                all_tried = all_tried and (pass_over >= 0 or next(rest, None) is None)
+                stack.pop()
+                if path:
+                    path.pop()
+                continue
+            nodes = None if nodes is None else nodes - 1
+            stack[-1] = (left, used, waste, rest, pass_over - 1)
+            filling, times = way
+            wasted = waste + times * (capacity - sum(filling))
+            if -(-(total + wasted) // capacity) >= best:
+                continue
+            after = left.copy()
+            for x, k in Counter(filling).items():
+                after[x] -= k * times
+            remaining = {int(x): int(after[x]) for x in np.flatnonzero(after)}
+            if used + times + lower_bound(remaining, capacity) >= best:
+                continue
+            ending = best_fit(remaining, capacity)
+            if (found := used + times + sum(n for _, n in ending)) < best:
+                best, incumbent = found, [*path, way, *ending]
+            if remaining:
+                path.append(way)
+                stack.append((after, used + times, wasted, ways(after, wasted), pass_over))
+        wave += 1
     return incumbent
 
 
@@ -238,7 +285,7 @@ def cut_pieces(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", toke
     return chosen.mapInArrow(cut, "doc_id long, piece int, start long, length long, ids_crc32 long, part int, nth long")
 
 
-def pack(spark: SparkSession, docs: DataFrame, capacity: int = 1024, nodes: int = 4_000, **options: object) -> DataFrame:
+def pack(spark: SparkSession, docs: DataFrame, capacity: int = 1024, nodes: int | None = NODES, **options: object) -> DataFrame:
     """One row per piece: doc_id, piece, start, length, ids_crc32, sequence_id, offset. No documents, no rows."""
     scratch = Scratch(spark, "packing")
     pieces = scratch.table(cut_pieces(docs, capacity=capacity, **options), "pieces")

@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import contextlib
 import zlib
 from collections.abc import Iterable, Iterator
 
@@ -22,26 +21,23 @@ MANIFEST = "shard int, ids_uri string, docs_uri string, n_docs long, n_tokens lo
 
 
 def _publish(uri: str, schema: pa.Schema, batches: Iterable[pa.RecordBatch]) -> None:
-    """Writes an Arrow file under a name of this attempt, then moves it to its own; a repeated task writes the same bytes."""
+    """Writes an Arrow file. Its name is that of this attempt: the manifest names the files of the attempt that counts, and no other touches them."""
     filesystem, path = store(uri)
     filesystem.create_dir(path.rpartition("/")[0], recursive=True)
-    attempt = f"{path}.attempt-{TaskContext.get().taskAttemptId()}"
-    with filesystem.open_output_stream(attempt) as out, pa.ipc.new_file(out, schema) as writer:
+    with filesystem.open_output_stream(path) as out, pa.ipc.new_file(out, schema) as writer:
         for batch in batches:
             writer.write_batch(batch)
-    with contextlib.suppress(FileNotFoundError):  # of an attempt whose executor was lost; not every store moves over a file
-        filesystem.delete_file(path)
-    filesystem.move(attempt, path)
 
 
 def write_token_files(docs: DataFrame, folder: str, doc_id: str = "doc_id", text: str = "text", tokenizer: str = TOKENIZER, end_id: int = 0, width: int = 1024) -> DataFrame:
     """Encodes documents in ascending id order (null ids first) into files below `folder`; returns the manifest to be written.
 
-    A shard has two Arrow files. ids-N.arrow: `ids`, fixed-size lists of `width` unsigned integers (16 bits if
+    A shard N has two Arrow files. ids-N-attempt.arrow: `ids`, fixed-size lists of `width` unsigned integers (16 bits if
     the vocabulary fits), and `mask`, fixed-size lists of booleans that are false on the padding, which only a
-    shard's last row has. docs-N.arrow: doc_id, start and length of each document in the shard. Sorting is by
-    range, so shards follow each other in id order. A null or empty text is its end id alone; repeated rows are
-    written each; without rows there is no shard with documents.
+    shard's last row has. docs-N-attempt.arrow: doc_id, start and length of each document in the shard. Sorting is by
+    range, so shards follow each other in id order; rows of one id, or without one, follow each other by a hash of
+    their texts, so that many of them are dealt over tasks too. A null or empty text is its end id alone; repeated
+    rows are written each; without rows there is no shard with documents.
     """
 
     def write(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -76,14 +72,16 @@ def write_token_files(docs: DataFrame, folder: str, doc_id: str = "doc_id", text
                 flat = np.concatenate(held)
                 yield rows(np.concatenate([flat, np.zeros(-n_held % width, dtype)]), n_held)
 
-        ids_uri, docs_uri = f"{folder}/ids-{shard:06}.arrow", f"{folder}/docs-{shard:06}.arrow"
+        name = f"{shard:06}-{TaskContext.get().taskAttemptId()}.arrow"
+        ids_uri, docs_uri = f"{folder}/ids-{name}", f"{folder}/docs-{name}"
         _publish(ids_uri, ids_schema, sequences())
         _publish(docs_uri, pa.schema({"doc_id": pa.int64(), "start": pa.int64(), "length": pa.int64()}), index)
         if total:
             yield pa.RecordBatch.from_pydict({"shard": pa.array([shard], pa.int32()), "ids_uri": [ids_uri], "docs_uri": [docs_uri], "n_docs": [sum(b.num_rows for b in index)], "n_tokens": [total]})
 
     chosen = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).alias("text"))
-    return chosen.repartitionByRange(partitions(docs.sparkSession), F.asc_nulls_first("doc_id")).sortWithinPartitions(F.asc_nulls_first("doc_id")).mapInArrow(write, MANIFEST)
+    order = [F.asc_nulls_first("doc_id"), F.xxhash64("text")]
+    return chosen.repartitionByRange(partitions(docs.sparkSession), *order).sortWithinPartitions(*order).mapInArrow(write, MANIFEST)
 
 
 def open_arrow(uri: str) -> pa.ipc.RecordBatchFileReader:

@@ -35,14 +35,20 @@ def byte_alphabet() -> dict[int, str]:
 
 
 class ChunkEncoder:
-    """Ids of texts, equal to those of Tokenizer.encode(text, add_special_tokens=False) with special strings as plain text."""
+    """Ids of texts, equal to those of Tokenizer.encode(text, add_special_tokens=False): a special string in a text is its token.
+
+    A text that has such a string is left to the library as it is; others are encoded by their distinct chunks.
+    """
 
     def __init__(self, path: str) -> None:
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer, pre_tokenizers
 
+        self.whole = Tokenizer.from_file(path)
+        added = [t.content for t in self.whole.get_added_tokens_decoder().values()]
+        self.special = re.compile("|".join(map(re.escape, added)), re.IGNORECASE) if added else None
         self.tokenizer = Tokenizer.from_file(path)
-        self.tokenizer.encode_special_tokens = True
+        self.tokenizer.encode_special_tokens = True  # its input is pieces
         # pieces are cut and spelt in the byte alphabet here, each once; in it, a line feed is no letter
         self.tokenizer.pre_tokenizer = pre_tokenizers.Split("\n", "removed")
         vocabulary = self.tokenizer.get_vocab(with_added_tokens=True)
@@ -74,6 +80,11 @@ class ChunkEncoder:
 
     def __call__(self, texts: list[str]) -> list[np.ndarray]:
         """The ids of each text, as views of one array."""
+        if self.special and (own := {i for i, t in enumerate(texts) if self.special.search(t)}):
+            out = self(["" if i in own else t for i, t in enumerate(texts)])
+            for i in own:
+                out[i] = np.array(self.whole.encode(texts[i], add_special_tokens=False).ids, self.dtype)
+            return out
         column = pa.array(texts, pa.large_string())
         odd = np.flatnonzero(pc.match_substring_regex(column, _ODD).to_numpy(zero_copy_only=False))
         split = pc.split_pattern(column, " ")

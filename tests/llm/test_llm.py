@@ -6,6 +6,7 @@ import hashlib
 import random
 import re
 import zlib
+from itertools import combinations
 
 import duckdb
 import numpy as np
@@ -54,7 +55,6 @@ def texts():
 @pytest.fixture(scope="module")
 def plain():
     t = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
-    t.encode_special_tokens = True
     return lambda x: t.encode(x, add_special_tokens=False).ids
 
 
@@ -72,6 +72,8 @@ def test_chunks_encode_like_the_library(plain):
         some = ["".join(rng.choice(parts) for _ in range(rng.randint(0, 14))) for _ in range(5)]
         assert [x.tolist() for x in encode(some)] == [plain(t) for t in some]
     assert encode([]) == []
+    special = "hello <|endoftext|> world"
+    assert encode([special, "a"])[0].tolist() == plain(special) == [31373, 220, 50256, 995]
 
 
 def test_token_counts(docs, texts, plain, edge, none):
@@ -93,9 +95,12 @@ def test_token_files(spark, docs, texts, plain, edge, none):
         ids = [*plain(texts[i]), 0]
         assert (got[i].start, got[i].n_tokens, got[i].ids_crc32) == (start, len(ids), zlib.crc32(np.array(ids, "<u4").tobytes()))
         start += len(ids)
-    rows = token_files.token_file_digest(spark, edge).collect()
-    assert len(rows) == len(EDGE)
-    assert sorted(r.start for r in rows)[0] == 0
+    # null ids first, then by id; rows of one id by their texts' hashes
+    rows = sorted(token_files.token_file_digest(spark, edge).collect(), key=lambda r: r.start)
+    want = [(i, tuple(plain(t or "")) + (0,)) for i, t in EDGE]
+    assert [r.doc_id for r in rows] == sorted((i for i, _ in EDGE), key=lambda i: i or -1)
+    assert sorted((r.doc_id or -1, r.n_tokens, r.ids_crc32) for r in rows) == sorted((i or -1, len(x), zlib.crc32(np.array(x, "<u4").tobytes())) for i, x in want)
+    assert [r.start for r in rows] == [sum(r.n_tokens for r in rows[:k]) for k in range(len(rows))]
     assert token_files.token_file_digest(spark, none).collect() == []
 
 
@@ -171,20 +176,58 @@ def fewest(lengths, capacity):
 
 def test_bin_completion_is_optimal_on_small_cases():
     rng = random.Random(5)
-    for _ in range(60):
-        lengths = sorted((rng.randint(1, 20) for _ in range(rng.randint(1, 8))), reverse=True)
+    for _ in range(80):
+        lengths = sorted((rng.randint(1, 20) for _ in range(rng.randint(1, 9))), reverse=True)
         counts = {x: lengths.count(x) for x in lengths}
-        packed = packing.bin_completion(counts, 20)
+        packed = packing.bin_completion(counts, 20, nodes=None)
         assert sorted(x for f, n in packed for x in f * n) == sorted(lengths)
         assert all(sum(f) <= 20 for f, _ in packed)
         assert sum(n for _, n in packed) == fewest(lengths, 20)
     assert packing.bin_completion({}, 20) == []
 
 
-def test_dominance():
-    assert packing.dominates((7,), (4, 3))
-    assert packing.dominates((5, 2), (4, 2))
-    assert not packing.dominates((4, 3), (5,))
+def slow_fillings(counts, room):
+    """All fillings that no other one dominates by a piece in the place of some of its pieces."""
+    every = {()}
+    for x, n in counts.items():
+        every |= {tuple(sorted((*f, *[x] * k), reverse=True)) for f in every for k in range(1, n + 1) if sum(f) + k * x <= room}
+
+    def dominated(f):
+        for k in range(len(f) + 1):
+            for some in combinations(f, k):
+                for x, n in counts.items():
+                    if n > f.count(x) and sum(some) <= x <= sum(some) + room - sum(f) and some != (x,):
+                        return True
+        return False
+
+    return {f for f in every if not dominated(f)}
+
+
+def test_all_undominated_fillings_are_found():
+    rng = random.Random(6)
+    for _ in range(60):
+        room = rng.randint(0, 25)
+        counts = {x: rng.randint(1, 3) for x in rng.sample(range(1, 16), rng.randint(0, 6))}
+        stock = np.zeros(30, np.int64)
+        for x, n in counts.items():
+            stock[x] = n
+        some = packing.Fillings(stock, room)
+        got = [f for waste in range(room + 1) for f in some.with_waste(waste, 0, room)]
+        assert len(got) == len({*got})
+        assert {*got} == slow_fillings({x: n for x, n in counts.items() if x <= room}, room)
+        few = [f for waste in range(room + 1) for n in range(room + 1) for f in some.with_waste(waste, n, n)]
+        assert sorted(few) == sorted(got)
+
+
+def test_search_needs_fewer_sequences_than_best_fit(plain):
+    counts = {}
+    for t in pd.read_parquet("/root/testdata/sf0.01/documents.parquet").text.tolist():
+        n = len(plain(t)) + 1
+        counts[(n - 1) % 1024 + 1] = counts.get((n - 1) % 1024 + 1, 0) + 1
+        counts[1024] = counts.get(1024, 0) + (n - 1) // 1024
+    fitted, searched = packing.best_fit(counts, 1024), packing.bin_completion(counts, 1024)
+    assert sum(n for _, n in searched) == packing.lower_bound(counts, 1024) < sum(n for _, n in fitted)
+    assert {x: sum(f.count(x) * n for f, n in searched) for x in counts} == counts
 
 
 # near duplicates
