@@ -1,10 +1,14 @@
-"""Toxicity by a weighted finite-state grammar: clauses are matched, not single words."""
+"""Toxicity by a weighted finite-state grammar: clauses are matched, not single words.
+
+Words become classes, and five transducers read them: insults, threats, targets, negation and reported speech. They
+are composed into one machine that reads a paragraph from the left. Reported speech is composed a second time, read
+from the right, for a report that follows ("..., she said"). What the classes are in the end weighs their words.
+"""
 
 from __future__ import annotations
 
 import math
 import re
-from collections import Counter
 from collections.abc import Callable, Iterable, Iterator
 from dataclasses import dataclass, field
 
@@ -14,21 +18,25 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import slices, texts_of
+from .common import Scratch, slices, texts_of
 
 #: At most so many labelled documents train the grammar, those of the lowest hashes of their ids.
 MAX_LABELLED = 20_000
 #: A term is learnt from so many differing documents at least, at such log odds.
 MIN_DOCUMENTS, MIN_ODDS = 5, 3.0
 STEMS = (4, 5, 6)
+#: Words without weight that a worker remembers.
+HARMLESS = 200_000
 
-# Classes of tokens. A clause is a string of these.
-OTHER, INSULT, THREAT, INTENT, TARGET, NEGATION, REPORT, QUOTE, DIRECTED, DENIED, QUOTED = range(11)
+# Classes of tokens, those that words have and those that the machines write.
+OTHER, TERM, VERB, INTENT, TARGET, NEGATION, REPORT, QUOTE, END = range(9)
+INSULT, DIRECTED, MENACE, DENIED, QUOTED = range(9, 14)
+CLASSES = 14
 
 #: Start values of the grammar in four languages; labels add to the insults.
 WORDS = {
-    INSULT: "idiot moron stupid loser pathetic worthless trash scum disgusting clown dumm idiotisch blödmann abschaum wertlos imbécile stupide ordure minable idiota estúpido basura patético imbécil",
-    THREAT: "kill hurt destroy beat shoot stab burn töten verletzen vernichten schlagen tuer frapper détruire brûler matar herir destruir golpear quemar",
+    TERM: "idiot moron stupid loser pathetic worthless trash scum disgusting clown dumm idiotisch blödmann abschaum wertlos imbécile stupide ordure minable idiota estúpido basura patético imbécil",
+    VERB: "kill hurt destroy beat shoot stab burn töten verletzen vernichten schlagen tuer frapper détruire brûler matar herir destruir golpear quemar",
     INTENT: "will shall gonna werde wirst vais allons voy vamos",
     TARGET: "you your yourself u they them du dich dir ihr euch tu te toi vous ti usted ustedes vosotros",
     NEGATION: "not no never n't isn't aren't wasn't nicht kein keine nie ne pas jamais nunca ningún",
@@ -36,49 +44,53 @@ WORDS = {
 }
 SEED_WEIGHT = 0.8
 
-_TOKEN = re.compile(r"[^\W_]+(?:['’]t\b)?|[\"“”„«»]|[.!?;\n]")
-_END = frozenset(".!?;\n")
-_QUOTES = frozenset("\"“”„«»")
+_TOKEN = re.compile(r"[^\W_]+(?:['’]t\b)?|[\"“”„«»]|[.!?;]")
+MARKS = dict.fromkeys(".!?;", END) | dict.fromkeys("\"“”„«»", QUOTE)
 
 
 @dataclass
 class Transducer:
-    """Reads classes and writes classes: (state, class) -> (state, class written); what isn't listed keeps both by `default`."""
+    """Reads classes and writes classes, from `start` on: (state, class) -> (state, class written)."""
 
     start: int
-    states: int
     step: Callable[[int, int], tuple[int, int]]
 
 
-def _scope(opens: int, reach: int, rewrite: dict[int, int], toggles: int | None = None) -> Transducer:
-    """After `opens`, the next `reach` tokens are rewritten; between two `toggles`, all are."""
+def _scope(opens: int, reach: int, inside: dict[int, int], outside: dict[int, int], quotes: bool = False) -> Transducer:
+    """After a word that opens a scope, the next `reach` tokens of its clause are written as `inside` has them, others as `outside`.
+
+    With `quotes`, all tokens between two quotation marks are inside too, clause after clause.
+    """
 
     def step(state: int, c: int) -> tuple[int, int]:
-        inside, left = divmod(state, reach + 1)
-        if c == toggles:
-            return (1 - inside) * (reach + 1), c
+        quoted, left = divmod(state, reach + 1)
+        if c == END:
+            return quoted * (reach + 1), c
+        if c == QUOTE and quotes:
+            return (1 - quoted) * (reach + 1) + left, c
         if c == opens:
-            return inside * (reach + 1) + reach, c
-        out = rewrite.get(c, c) if inside or left else c
-        return inside * (reach + 1) + max(0, left - 1), out
+            return quoted * (reach + 1) + reach, c
+        rewrite = inside if quoted or left else outside
+        return quoted * (reach + 1) + max(0, left - 1), rewrite.get(c, c)
 
-    return Transducer(0, 2 * (reach + 1), step)
+    return Transducer(0, step)
 
 
-NEGATED = _scope(NEGATION, 3, {INSULT: DENIED, THREAT: DENIED})
-REPORTED = _scope(REPORT, 4, {INSULT: QUOTED, THREAT: QUOTED}, toggles=QUOTE)
-ADDRESSED = _scope(TARGET, 5, {INSULT: DIRECTED})
+INSULTS = Transducer(0, lambda state, c: (state, INSULT if c == TERM else c))
+THREATS = _scope(INTENT, 4, {VERB: MENACE}, {VERB: OTHER})
+TARGETS = _scope(TARGET, 5, {INSULT: DIRECTED}, {})
+NEGATED = _scope(NEGATION, 3, dict.fromkeys((INSULT, DIRECTED, MENACE), DENIED), {})
+REPORTED = _scope(REPORT, 4, dict.fromkeys((INSULT, DIRECTED, MENACE), QUOTED), {}, quotes=True)
+REPORTED_AFTER = _scope(REPORT, 4, dict.fromkeys((INSULT, DIRECTED, MENACE), QUOTED), {})
 
 
-def compose(machines: list[Transducer]) -> tuple[dict[tuple[int, int], tuple[int, int]], int]:
-    """One machine that does what the given ones do one after another; only states that can be reached."""
-    names: dict[tuple[int, ...], int] = {}
-    table: dict[tuple[int, int], tuple[int, int]] = {}
-    todo = [tuple(m.start for m in machines)]
-    names[todo[0]] = 0
+def compose(machines: list[Transducer]) -> dict[tuple[int, int], tuple[int, int]]:
+    """One machine that does what the given ones do one after another, as a table of the states that can be reached; 0 is the first."""
+    first = tuple(m.start for m in machines)
+    names, table, todo = {first: 0}, {}, [first]
     while todo:
         at = todo.pop()
-        for c in range(11):
+        for c in range(CLASSES):
             out, after = c, []
             for m, s in zip(machines, at, strict=True):
                 s, out = m.step(s, out)
@@ -87,12 +99,12 @@ def compose(machines: list[Transducer]) -> tuple[dict[tuple[int, int], tuple[int
                 names[key] = len(names)
                 todo.append(key)
             table[names[at], c] = names[key], out
-    return table, len(names)
+    return table
 
 
-#: How much of a term's weight counts in each reading; threats count when an intent stands before them.
-SHARE = {INSULT: 1.0, DIRECTED: 1.3, DENIED: 0.3, QUOTED: 0.5, THREAT: 0.0}
-GRAMMAR, _ = compose([NEGATED, REPORTED, ADDRESSED])
+#: How much of a term's weight counts in each reading; a verb of harm counts only as a threat.
+SHARE = {INSULT: 1.0, DIRECTED: 1.3, MENACE: 1.0, DENIED: 0.3, QUOTED: 0.5}
+GRAMMAR, FROM_RIGHT = compose([INSULTS, THREATS, TARGETS, NEGATED, REPORTED]), compose([REPORTED_AFTER])
 
 
 @dataclass
@@ -102,59 +114,50 @@ class Grammar:
     terms: dict[str, float] = field(default_factory=dict)
     stems: dict[str, float] = field(default_factory=dict)
     bias: float = -4.0
-    slope: float = 4.0
+    slope: float = 7.0
 
     def __post_init__(self) -> None:
-        self.classes = {w: c for c, words in WORDS.items() for w in words.split()}
-        self.known: dict[str, tuple[int, float]] = {}
+        self.classes = {w: c for c, words in WORDS.items() for w in words.split()} | MARKS
+        self.harmless: set[str] = set()
 
     def look_up(self, word: str) -> tuple[int, float]:
-        if word in _QUOTES:
-            return QUOTE, 0.0
+        """Class and weight of a token."""
         c = self.classes.get(word, OTHER)
-        w = self.terms.get(word, 0.0)
-        if not w:
-            w = max((self.stems.get(word[:k], 0.0) for k in STEMS if len(word) > k), default=0.0)
-        if w and c in (OTHER, INSULT):
-            return INSULT, w
-        return c, SEED_WEIGHT if c in (INSULT, THREAT) else 0.0
-
-    def clause(self, tokens: list[tuple[int, float]]) -> float:
-        """Weight of one clause in the composed machine."""
-        state, intent, total = 0, 0, 0.0
-        for c, w in tokens:
+        if c in (OTHER, TERM):
+            w = self.terms.get(word, 0.0) or max((self.stems.get(word[:k], 0.0) for k in STEMS if len(word) > k), default=0.0)
+            if w:
+                return TERM, w
+        return c, SEED_WEIGHT if c in (TERM, VERB) else 0.0
+
+    def paragraph(self, tokens: list[str]) -> float:
+        """Weight of a paragraph in the composed machines."""
+        state, read = 0, []
+        for c, w in map(self.look_up, tokens):
             state, out = GRAMMAR[state, c]
-            if c == INTENT:
-                intent = 4
-            elif intent:
-                intent -= 1
-            share = SHARE.get(out, 0.0)
-            if out == THREAT and intent:
-                share = 1.0
-            total += share * w
+            read.append((out, w))
+        state, total = 0, 0.0
+        for c, w in reversed(read):
+            state, out = FROM_RIGHT[state, c]
+            total += SHARE.get(out, 0.0) * w
         return total
 
     def weight(self, text: str) -> float:
-        """Sum over the clauses that have an insult or a threat."""
-        total, clause, live = 0.0, [], False
-        known, look_up = self.known, self.look_up
-        if len(known) > 150_000:
-            known.clear()
-        for word in _TOKEN.findall(text.lower()):
-            if word in _END:
-                if live:
-                    total += self.clause(clause)
-                clause, live = [], False
-                continue
-            got = known.get(word)
-            if got is None:
-                got = known[word] = look_up(word)
-            clause.append(got)
-            live = live or got[1] > 0
-        return total + (self.clause(clause) if live else 0.0)
+        """Sum over the paragraphs; one without a word of weight weighs nothing, whatever else it has."""
+        if len(self.harmless) > HARMLESS:
+            self.harmless.clear()
+        total = 0.0
+        for part in text.lower().split("\n"):
+            tokens = _TOKEN.findall(part)
+            other = {*tokens} - self.harmless
+            if other:
+                heavy = {x for x in other if self.look_up(x)[1]}
+                self.harmless |= other - heavy
+                if heavy:
+                    total += self.paragraph(tokens)
+        return total
 
     def score(self, text: str) -> float:
-        return 1 / (1 + math.exp(-min(max(self.bias + self.slope * min(self.weight(text), 12.0), -30), 30)))
+        return 0.5 + 0.5 * math.tanh((self.bias + self.slope * math.log1p(self.weight(text))) / 2)
 
 
 def is_held_out(doc_id: str = "doc_id") -> F.Column:
@@ -162,11 +165,15 @@ def is_held_out(doc_id: str = "doc_id") -> F.Column:
 
 
 def labelled_sample(docs: DataFrame, labels: DataFrame, label: str, limit: int) -> DataFrame:
-    """(text, y) of at most `limit` labelled documents that aren't held out; of conflicting labels the higher counts."""
+    """(text, y) of at most `limit` labelled documents that aren't held out, one row for each id.
+
+    Of conflicting labels of an id the higher counts, of several texts the one of the least hash.
+    """
     usable = labels.filter(F.col("doc_id").isNotNull() & F.col(label).isNotNull() & ~is_held_out())
     chosen = usable.groupBy("doc_id").agg(F.max(label).cast("int").alias("y")).orderBy(F.xxhash64("doc_id"), "doc_id").limit(limit)
     # `limit` rows of two numbers at most
-    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").join(F.broadcast(chosen), "doc_id").select("text", "y")
+    found = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text")).join(F.broadcast(chosen), "doc_id")
+    return found.groupBy("doc_id", "y").agg(F.min(F.struct(F.xxhash64("text").alias("h"), "text")).alias("t")).select("t.text", "y")
 
 
 def _words(text: str) -> set[str]:
@@ -174,8 +181,10 @@ def _words(text: str) -> set[str]:
 
 
 def _kin(words: set[str]) -> int:
-    """The same for most copies of a text: the lowest hash among its long words."""
-    return min((xxhash.xxh3_64_intdigest(w.encode()) for w in words if len(w) >= 8), default=0) >> 1
+    """The same for most copies of a text: the two lowest hashes of its long words, or of all its words if it has few long ones."""
+    long = [w for w in words if len(w) >= 8]
+    h = sorted(xxhash.xxh3_64_intdigest(w.encode()) for w in (long if len(long) >= 4 else words))
+    return xxhash.xxh3_64_intdigest(repr(h[:2]).encode()) >> 1
 
 
 def _terms(words: set[str]) -> set[str]:
@@ -185,39 +194,34 @@ def _terms(words: set[str]) -> set[str]:
 def fit(docs: DataFrame, labels: DataFrame, limit: int = MAX_LABELLED) -> Grammar:
     """Learns insults, as words and stems, from labelled documents, copies counted once, and the probability line from an eighth that no term was learnt from.
 
-    No labels leave the start values. Three jobs over the sample; what comes to the driver is bounded by it.
+    No labels leave the start values. The sample is written once and read three times; what comes to the driver is
+    bounded by it.
     """
-    sample = labelled_sample(docs, labels, "toxic", limit)
-
-    def toxic_terms(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in slices(batches, "text"):
-            for t in texts_of(batch, "text"):
-                words = _words(t.decode())
-                kin = _kin(words)
-                if kin % 8:
-                    terms = [*_terms(words)]
-                    yield pa.RecordBatch.from_pydict({"term": terms, "kin": pa.array([kin] * len(terms), pa.int64())})
-
-    seen = sample.filter("y = 1").select("text").mapInArrow(toxic_terms, "term string, kin long").distinct()
-    support = {r["term"]: r["n"] for r in seen.groupBy("term").agg(F.count("*").alias("n")).filter(F.col("n") >= MIN_DOCUMENTS).collect()}
+    spark = docs.sparkSession
+    sample = Scratch(spark, "toxicity").table(labelled_sample(docs, labels, "toxic", limit), "sample")
+    sample = sample.repartition(max(1, spark.sparkContext.defaultParallelism))
+
+    def terms_of(y: int, wanted: dict[str, int] | None) -> DataFrame:
+        """(term, n): how many differing documents of a label have a term, and how many there are, under an empty term."""
+
+        def emit(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            for batch in slices(batches, "text"):
+                for t in texts_of(batch, "text"):
+                    words = _words(t.decode())
+                    kin = _kin(words)
+                    if kin % 8:
+                        terms = ["", *(x for x in _terms(words) if wanted is None or x in wanted)]
+                        yield pa.RecordBatch.from_pydict({"term": terms, "kin": pa.array([kin] * len(terms), pa.int64())})
+
+        seen = sample.filter(F.col("y") == y).select("text").mapInArrow(emit, "term string, kin long").distinct()
+        return seen.groupBy("term").agg(F.count("*").alias("n"))
+
+    support = {r["term"]: r["n"] for r in terms_of(1, None).filter((F.col("n") >= MIN_DOCUMENTS) | (F.col("term") == "")).collect()}
+    n_toxic = support.pop("", 0)
     if not support:
         return Grammar()
-
-    def sums(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        clean: Counter[str] = Counter()
-        n: Counter[int] = Counter()
-        for batch in slices(batches, "text"):
-            for t, y in zip(texts_of(batch, "text"), batch.column("y").to_pylist(), strict=True):
-                words = _words(t.decode())
-                if _kin(words) % 8:
-                    n[y] += 1
-                    if not y:
-                        clean.update(x for x in _terms(words) if x in support)
-        rows = [*clean.items(), *((f" {y}", k) for y, k in n.items())]
-        yield pa.RecordBatch.from_pydict({"term": pa.array([x for x, _ in rows], pa.string()), "n": pa.array([x for _, x in rows], pa.int64())})
-
-    clean = {r["term"]: r["n"] for r in sample.mapInArrow(sums, "term string, n long").groupBy("term").agg(F.sum("n").alias("n")).collect()}
-    n_clean, n_toxic = clean.get(" 0", 0), max(clean.get(" 1", 0), 1)
+    clean = {r["term"]: r["n"] for r in terms_of(0, support).collect()}
+    n_clean = clean.pop("", 0)
     odds = {t: math.log((p + 0.5) / (n_toxic + 1)) - math.log((clean.get(t, 0) + 0.5) / (n_clean + 1)) for t, p in support.items()}
     # weights between a half and one, so that clauses count more than how rare a term is; little support is weak evidence
     good = {t: 0.5 + min(w, 6.0) / 12 * support[t] / (support[t] + 5) for t, w in odds.items() if w >= MIN_ODDS and clean.get(t, 0) * 20 <= support[t]}
@@ -230,17 +234,17 @@ def fit(docs: DataFrame, labels: DataFrame, limit: int = MAX_LABELLED) -> Gramma
             yield pa.RecordBatch.from_pydict({"x": pa.array([x for x, _ in new], pa.float64()), "y": pa.array([y for _, y in new], pa.int32())})
 
     points = sample.mapInArrow(weigh, "x double, y int").toPandas()
-    grammar.bias, grammar.slope = _line(np.minimum(points["x"].to_numpy(), 12.0), points["y"].to_numpy())
+    grammar.bias, grammar.slope = _line(np.log1p(points["x"].to_numpy()), points["y"].to_numpy())
     return grammar
 
 
 def _line(x: np.ndarray, y: np.ndarray, prior: float = 3.0) -> tuple[float, float]:
     """Logistic regression on one number, by Newton's method, drawn to the start values."""
     a = np.stack([np.ones_like(x), x], 1)
-    start = np.array([-4.0, 4.0])
+    start = np.array([Grammar.bias, Grammar.slope])
     b = start.copy()
     for _ in range(50):
-        p = 1 / (1 + np.exp(-np.clip(a @ b, -30, 30)))
+        p = 0.5 + 0.5 * np.tanh(a @ b / 2)
         g = a.T @ (y - p) - prior * (b - start)
         step = np.linalg.solve((a * (p * (1 - p))[:, None]).T @ a + prior * np.eye(2), g)
         b = b + np.clip(step, -1, 1)

@@ -465,6 +465,20 @@ def held_out(scores, labels, label):
     return hit, sum(positive) / len(positive)
 
 
+def test_quality_votes_row_by_row(spark, docs, texts):
+    space = quality_classifier.fit(docs, spark.read.parquet(f"{FOLDER}/labels.parquet"))
+    unit = lambda z: z / max(np.sqrt((z * z).sum()), 1e-9)
+    for i, r in table(quality_classifier.classify(spark, docs, space)).items():
+        names, values = quality_classifier.features(texts[i].encode())
+        z = unit(sum((v * space.idf[k] * space.axes[k] for k, v in zip(names, values, strict=True)), np.zeros(space.axes.shape[1])))
+        cos = [round(float(z @ v), 4) for v in space.vectors.astype(np.float64)]
+        least = sorted(cos, reverse=True)[:25][-1]
+        votes = [(max(c, 0) ** 8, y) for c, y in zip(cos, space.labels, strict=True) if c >= least]
+        want = (sum(w * y for w, y in votes) + 0.1 * space.prior) / (sum(w for w, _ in votes) + 0.1)
+        assert r.score == pytest.approx(want, abs=0.03)
+        assert r.predicted == (r.score >= 0.5)
+
+
 def test_quality_held_out(spark, labelled):
     accuracy, _ = held_out(quality_classifier.quality(spark, *labelled), labelled[1], "quality")
     assert accuracy >= 0.98
@@ -501,6 +515,65 @@ def test_grammar_reads_clauses():
     assert weigh('the word "idiot" here') < weigh("the word idiot here")
     assert weigh("we will hurt you") > weigh("does it hurt")
     assert weigh("not. an idiot") == weigh("an idiot")
+    assert weigh('"That is it. You idiot. Go." she said') < weigh("That is it. You idiot. Go.")
+    assert weigh("what an idiot, she said") < weigh("what an idiot, she came")
+    assert weigh('"Go\nidiot') == weigh("idiot")  # an open quote ends with its paragraph
+
+
+def slow_weight(grammar, text):
+    """A rule for each clause, looking around from each word of weight."""
+    total = 0.0
+    for part in text.lower().split("\n"):
+        words = [grammar.look_up(x) for x in toxicity._TOKEN.findall(part)]
+        classes = [c for c, _ in words]
+        for i, (c, w) in enumerate(words):
+            if not w:
+                continue
+            first = max((k + 1 for k in range(i) if classes[k] == toxicity.END), default=0)
+            last = min((k for k in range(i, len(words)) if classes[k] == toxicity.END), default=len(words))
+            before = lambda kind, reach, skip=(): kind in [x for x in classes[first:i] if x not in skip][-reach:]  # noqa: E731, B023
+            after = [x for x in classes[i + 1 : last]][:4]
+            if c == toxicity.VERB and not before(toxicity.INTENT, 4):
+                continue
+            share = 1.3 if c == toxicity.TERM and before(toxicity.TARGET, 5) else 1.0
+            if before(toxicity.NEGATION, 3):
+                share = 0.3
+            elif classes[:i].count(toxicity.QUOTE) % 2 or before(toxicity.REPORT, 4, (toxicity.QUOTE,)) or toxicity.REPORT in after:
+                share = 0.5
+            total += share * w
+    return total
+
+
+def test_composed_machines_equal_rules(texts):
+    g = toxicity.Grammar({"grumble": 0.6}, {"snar": 0.7})
+    rng = random.Random(9)
+    some = [w for words in toxicity.WORDS.values() for w in words.split()[:4]] + ["a", "b", "grumble", "snarling", '"', ".", "\n", ",", "c", "d"]
+    for _ in range(1500):
+        text = " ".join(rng.choice(some) for _ in range(rng.randint(0, 25)))
+        assert g.weight(text) == pytest.approx(slow_weight(g, text)), text
+    for t in texts.values():
+        assert g.weight(t) == pytest.approx(slow_weight(g, t))
+
+
+def test_toxicity_scores_row_by_row(spark, docs, texts):
+    g = toxicity.fit(docs, spark.read.parquet(f"{FOLDER}/labels.parquet"))
+    for i, r in table(toxicity.score(docs, g)).items():
+        assert r.score == pytest.approx(1 / (1 + np.exp(-g.bias - g.slope * np.log1p(slow_weight(g, texts[i])))))
+        assert r.predicted == (r.score >= 0.7)
+
+
+def test_short_texts_teach(spark):
+    rows = [(i, f"no {w} at all t{i}" if i % 2 else f"a day of sun t{i}", i % 2) for i, w in enumerate(["grix", "ok"] * 400)]
+    rows = [(i, f"you are grix u{i}" if y else t, y) for i, t, y in rows]
+    docs, labels = spark.createDataFrame([r[:2] for r in rows], "doc_id long, text string"), spark.createDataFrame([(i, 1, y) for i, _, y in rows], "doc_id long, quality int, toxic int")
+    assert "grix" in toxicity.fit(docs, labels).terms
+
+
+def test_labelled_sample_has_a_row_for_each_id(spark):
+    a, b = [i for i in range(20) if zlib.crc32(str(i).encode()) % 3 != 1][:2]
+    docs = spark.createDataFrame([(a, f"text {i}") for i in range(500)] + [(b, "x")], "doc_id long, text string")
+    labels = spark.createDataFrame([(a, 1, 1), (b, 0, 0)], "doc_id long, quality int, toxic int")
+    assert toxicity.labelled_sample(docs, labels, "toxic", 20).count() == 2
 
 
 def test_without_toxic(edge):
