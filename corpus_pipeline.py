@@ -29,9 +29,11 @@ def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def drop_repeated_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """All documents, without later copies of lines, alone or in runs; n_chars follows the text."""
+    """All documents, without later copies of lines, alone or in runs; n_chars, if there, follows the text."""
     with stage(spark):
-        left = line_dedup.dedup_lines(spark, docs, min_lines=1)
+        left = line_dedup.dedup_lines(spark, docs)
+    if "n_chars" not in docs.columns:
+        return left
     return left.withColumn("n_chars", F.coalesce(F.length("text").cast("long"), "n_chars"))
 
 

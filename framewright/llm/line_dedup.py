@@ -2,11 +2,9 @@
 
 Documents, in id order, are one sequence of line ids in which each document ends with a symbol of its own. Ranks
 of suffixes by their first line are doubled to two lines, four, ... by joining each suffix with the one that starts
-where its sorted prefix ends. Suffixes whose rank nobody shares are in place and leave. Suffixes of one rank at
-depth d are an interval of the suffix array whose longest common prefix is d lines or more; the first of them in
-sequence order is the copy that stays, and the d lines of each other one are deleted. Intervals deeper than the
-least run lie within those of that depth, and a maximal run is the union of its overlapping prefixes, so sorting
-stops there.
+where its sorted prefix ends, until nobody shares a rank. Suffixes of one rank at depth d are an interval of the
+suffix array whose longest common prefix is d lines or more; all but the first of them in sequence order repeat an
+earlier place. Their overlapping prefixes are the maximal repeated runs, which are deleted.
 """
 
 from __future__ import annotations
@@ -20,7 +18,6 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from .common import Scratch, slices, texts_of
-from .tokens import partitions
 
 WHITE = " \t\n\x0b\x0c\r"
 KEY = ["id", "th"]
@@ -56,7 +53,7 @@ def numbered(scratch: Scratch, counted: DataFrame, by: list[str], name: str) ->
             total += int(n.sum())
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(before), pa.array(np.full(len(n), part, np.int32))], [*batch.schema.names, "within", "part"])
 
-    ranged = counted.repartitionByRange(partitions(counted.sparkSession), *by).sortWithinPartitions(*by)
+    ranged = counted.repartitionByRange(*by).sortWithinPartitions(*by)
     schema = ", ".join(f"{c} {t}" for c, t in counted.dtypes)
     local = scratch.table(ranged.mapInArrow(add, f"{schema}, within long, part int"), name)
     parts = local.groupBy("part").agg(F.sum("n").alias("total"))
@@ -65,66 +62,88 @@ def numbered(scratch: Scratch, counted: DataFrame, by: list[str], name: str) ->
     return local.join(F.broadcast(offsets), "part").select(*counted.columns, (F.col("within") + F.col("offset")).alias("before"))
 
 
-def suffix_ranks(scratch: Scratch, lines: DataFrame, depth: int) -> DataFrame:
-    """(id, th, k, r): suffixes that share their first `depth` lines with others, ranked by them; the rest are unique and left out."""
+def _ranked(scratch: Scratch, places: DataFrame, by: list[str], name: str) -> DataFrame:
+    """(id, th, k, r, first): places whose `by` others share, ranked by it among all such, and the first place of each rank."""
+    counted = places.groupBy(*by).agg(F.count("*").alias("n"), F.min(F.struct(*KEY, "k")).alias("first")).filter("n > 1")
+    # the order is written, so that the join deals out both sides itself and can split a rank that many places share
+    order = numbered(scratch, counted, by, f"order-{name}")
+    return scratch.table(places.join(order, by).select(*KEY, "k", F.col("before").alias("r"), "first"), f"ranks-{name}")
+
+
+def lcp_intervals(scratch: Scratch, lines: DataFrame, least: int) -> list[tuple[int, DataFrame]]:
+    """The intervals of the suffix array with a common prefix of `least` lines or more, by prefixes of least, 2 least, 4 least ... lines.
+
+    For each such depth, (id, th, k, r, first): the suffixes in intervals of this depth. r is the place of the
+    interval among all of its depth, first the first of its suffixes in sequence order. A suffix whose rank nobody
+    shares is in place and leaves; doubling ends when all have left, so the last depth is over half of the longest
+    repeated run.
+    """
     lines = scratch.table(lines.dropDuplicates([*KEY, "k"]), "lines")
-    shared = scratch.table(lines.groupBy("a", "b").agg(F.count("*").alias("n")).filter("n > 1"), "shared")
-    rank = numbered(scratch, shared, ["a", "b"], "ids")
-    ranks = scratch.table(lines.join(rank, ["a", "b"]).select(*KEY, "k", F.col("before").alias("r")), "ranks-1")
-    done = 1
-    while done < depth:
-        step = min(done, depth - done)
+    ranks, depth = _ranked(scratch, lines, ["a", "b"], "1"), 1
+    out = []
+    while not ranks.isEmpty():
+        if depth >= least:
+            out.append((depth, ranks))
+        step = depth if depth >= least else min(depth, least - depth)
         after = ranks.select(*KEY, (F.col("k") - step).alias("k"), F.col("r").alias("r2"))
-        pairs = scratch.table(ranks.join(after, [*KEY, "k"]), f"pairs-{done + step}")
-        counted = pairs.groupBy("r", "r2").agg(F.count("*").alias("n")).filter("n > 1")
-        rank = numbered(scratch, counted, ["r", "r2"], f"order-{done + step}")
-        ranks = scratch.table(pairs.join(rank, ["r", "r2"]).select(*KEY, "k", F.col("before").alias("r")), f"ranks-{done + step}")
-        done += step
-    return ranks
+        pairs = scratch.table(ranks.select(*KEY, "k", "r").join(after, [*KEY, "k"]), f"pairs-{depth + step}")
+        depth += step
+        ranks = _ranked(scratch, pairs, ["r", "r2"], str(depth))
+    return out
 
 
-def later_places(scratch: Scratch, ranks: DataFrame) -> DataFrame:
-    """(id, th, k, first): places of intervals of the suffix array that aren't the first of their interval, with that one."""
-    place = F.struct(*KEY, "k")
-    # written, so that the join deals out both sides itself and can split a rank that many places share
-    first = scratch.table(ranks.groupBy("r").agg(F.min(place).alias("first")), "first")
-    return ranks.join(first, "r").filter(place > F.col("first")).select(*KEY, "k", "first")
+def repeats(intervals: list[tuple[int, DataFrame]]) -> DataFrame:
+    """(id, th, k, n, first): the n lines from k on also stand at the earlier place `first`; for every depth at which they do."""
+    out = None
+    for depth, ranks in intervals:
+        later = ranks.filter(F.struct(*KEY, "k") > F.col("first")).select(*KEY, "k", F.lit(depth).alias("n"), "first")
+        out = later if out is None else out.unionByName(later)
+    return out
 
 
-def later_copies(later: DataFrame, depth: int) -> DataFrame:
-    """(id, th, gone): the lines of each document that lie in a run of `depth` lines of which an earlier place has a copy."""
-    lines = later.select(*KEY, F.explode(F.sequence("k", F.col("k") + (depth - 1))).alias("k"))
-    return lines.groupBy(*KEY).agg(F.sort_array(F.collect_set("k")).alias("gone"))
+def _merged(pieces: DataFrame, by: list[str]) -> DataFrame:
+    """(by, k, n): unions of overlapping pieces of n lines from k on, with the least k and the whole length."""
+    w = Window.partitionBy(*by).orderBy("k")
+    end = F.max(F.col("k") + F.col("n")).over(w.rowsBetween(Window.unboundedPreceding, -1))
+    new = pieces.select(*by, "k", "n", F.when(F.col("k") < end, 0).otherwise(1).alias("new"))
+    runs = new.withColumn("run", F.sum("new").over(w.rowsBetween(Window.unboundedPreceding, 0)))
+    return runs.groupBy(*by, "run").agg(F.min("k").alias("k"), (F.max(F.col("k") + F.col("n")) - F.min("k")).alias("n")).drop("run")
 
 
-def maximal_runs(later: DataFrame, depth: int) -> DataFrame:
-    """(id, th, k, n_lines, copy_id, copy_k): maximal runs of lines that stand at an earlier place too, which is given.
+def maximal_runs(intervals: list[tuple[int, DataFrame]]) -> DataFrame:
+    """(id, th, k, n): maximal runs of lines of a document of which each part is repeated from earlier places.
 
-    Prefixes that follow each other in a document as their first copies do belong to one run.
+    A place whose longest earlier match has L lines, of depth d <= L < 2d, is itself in an interval of depth d, and
+    so is the place d lines before the match's end: their prefixes overlap and make up the whole match.
     """
-    shift = F.col("k") - F.col("first.k")
-    flat = later.select(*KEY, "k", F.col("first.id").alias("copy_id"), F.col("first.th").alias("copy_th"), shift.alias("shift"))
-    by = [*KEY, "copy_id", "copy_th", "shift"]
-    island = F.col("k") - F.row_number().over(Window.partitionBy(*by).orderBy("k"))
-    runs = flat.withColumn("island", island).groupBy(*by, "island").agg(F.min("k").alias("k"), F.count("*").alias("n"))
-    return runs.select(*KEY, "k", (F.col("n") + (depth - 1)).alias("n_lines"), "copy_id", (F.col("k") - F.col("shift")).alias("copy_k"))
+    return _merged(repeats(intervals).select(*KEY, "k", "n"), KEY)
+
 
+def repeated_runs(spark: SparkSession, docs: DataFrame, doc_id: str = "doc_id", text: str = "text", min_lines: int = 1) -> DataFrame:
+    """(id, th, k, n_lines, copy_id, copy_k): runs of lines of docs with an earlier place that they are copied from; k counts lines with a word.
 
-def repeated_runs(spark: SparkSession, docs: DataFrame, doc_id: str = "doc_id", text: str = "text", min_lines: int = 2) -> DataFrame:
-    """The maximal repeated runs of lines of docs, each with its earliest copy; k counts lines with a word."""
+    Prefixes that follow each other in a document as their first copies do belong to one run. th is the hash of
+    the text. No docs or no repeated lines, no rows.
+    """
     scratch = Scratch(spark, "line_dedup")
-    return maximal_runs(later_places(scratch, suffix_ranks(scratch, line_ids(docs, doc_id, text), min_lines)), min_lines)
+    intervals = lcp_intervals(scratch, line_ids(docs, doc_id, text), min_lines)
+    if not intervals:
+        return spark.createDataFrame([], "id long, th long, k int, n_lines int, copy_id long, copy_k int")
+    shift = F.col("k") - F.col("first.k")
+    flat = repeats(intervals).select(*KEY, "k", "n", F.col("first.id").alias("copy_id"), F.col("first.th").alias("copy_th"), shift.alias("shift"))
+    runs = _merged(flat, [*KEY, "copy_id", "copy_th", "shift"])
+    return runs.select(*KEY, "k", F.col("n").alias("n_lines"), "copy_id", (F.col("k") - F.col("shift")).alias("copy_k"))
 
 
-def _without(text: bytes, gone: list[int]) -> tuple[bytes, int]:
-    """The text without the given of its lines with words, and how many such lines it has."""
+def _without(text: bytes, runs: list[dict[str, int]]) -> tuple[bytes, int, int]:
+    """The text without the given runs of its lines with words, how many such lines it has, and how many are gone."""
     lines = text.split(b"\n")
     real = [i for i, x in enumerate(lines) if x.strip()]
-    drop = {real[k] for k in gone}
-    return (b"\n".join(x for i, x in enumerate(lines) if i not in drop) if drop else text), len(real)
+    drop = {i for run in runs for i in real[run["k"] : run["k"] + run["n"]]}
+    return (b"\n".join(x for i, x in enumerate(lines) if i not in drop) if drop else text), len(real), len(drop)
 
 
-def dedup_lines(spark: SparkSession, docs: DataFrame, doc_id: str = "doc_id", text: str = "text", min_lines: int = 2, digest: bool = False) -> DataFrame:
+def dedup_lines(spark: SparkSession, docs: DataFrame, doc_id: str = "doc_id", text: str = "text", min_lines: int = 1, digest: bool = False) -> DataFrame:
     """docs with later copies of runs of `min_lines` lines or more deleted from the text, all columns as they are.
 
     Lines are cut at line feeds and compared exactly; lines without a word belong to no run and stay. The earliest
@@ -133,8 +152,9 @@ def dedup_lines(spark: SparkSession, docs: DataFrame, doc_id: str = "doc_id", te
     the rows are doc_id, n_lines (with a word), n_removed, kept_sha256 (of the text that is left; null as empty).
     """
     scratch = Scratch(spark, "line_dedup")
-    ranks = suffix_ranks(scratch, line_ids(docs, doc_id, text), min_lines)
-    gone = scratch.table(later_copies(later_places(scratch, ranks), min_lines), "gone")
+    intervals = lcp_intervals(scratch, line_ids(docs, doc_id, text), min_lines)
+    runs = maximal_runs(intervals) if intervals else spark.createDataFrame([], "id long, th long, k int, n int")
+    gone = scratch.table(runs.groupBy(*KEY).agg(F.collect_list(F.struct("k", "n")).alias("gone")), "gone")
     names = [f"_{i}" for i in range(len(docs.columns))]
     wanted = [docs.columns.index(doc_id), docs.columns.index(text)] if digest else [*range(len(names))]
     at = names[docs.columns.index(text)]
@@ -144,13 +164,12 @@ def dedup_lines(spark: SparkSession, docs: DataFrame, doc_id: str = "doc_id", te
 
     def cut(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches, at):
-            old = batch.column(at).to_pylist()
             new = [_without(t, g or []) for t, g in zip(texts_of(batch, at), batch.column("gone").to_pylist(), strict=True)]
             if digest:
-                removed = [len(g or []) for g in batch.column("gone").to_pylist()]
-                yield pa.RecordBatch.from_pydict({"doc_id": batch.column(names[wanted[0]]).cast(pa.int64()), "n_lines": pa.array([n for _, n in new], pa.int64()), "n_removed": pa.array(removed, pa.int64()), "kept_sha256": pa.array([hashlib.sha256(t).hexdigest() for t, _ in new], pa.string())})
+                yield pa.RecordBatch.from_pydict({"doc_id": batch.column(names[wanted[0]]).cast(pa.int64()), "n_lines": pa.array([n for _, n, _ in new], pa.int64()), "n_removed": pa.array([k for _, _, k in new], pa.int64()), "kept_sha256": pa.array([hashlib.sha256(t).hexdigest() for t, _, _ in new], pa.string())})
             else:
-                texts = pa.array([None if o is None else t.decode() for o, (t, _) in zip(old, new, strict=True)], pa.string())
+                null = batch.column(at).is_null().to_numpy(zero_copy_only=False)
+                texts = pa.array([t for t, _, _ in new], pa.binary(), mask=null).cast(pa.string())
                 yield pa.RecordBatch.from_arrays([texts if names[i] == at else batch.column(names[i]) for i in wanted], [names[i] for i in wanted])
 
     if digest:

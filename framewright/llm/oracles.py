@@ -7,9 +7,7 @@ LINE_DEDUP = rf"""
 WITH d AS (SELECT doc_id, coalesce(text, '') AS text FROM documents),
 cut AS (SELECT doc_id, unnest(string_split(text, chr(10))) AS line, generate_subscripts(string_split(text, chr(10)), 1) AS i FROM d),
 real AS (SELECT doc_id, line, i, row_number() OVER (PARTITION BY doc_id ORDER BY i) AS k FROM cut WHERE regexp_matches(line, '{_WHITE}')),
-runs AS (SELECT doc_id, k, line, lead(line) OVER (PARTITION BY doc_id ORDER BY k) AS line2, i, lead(i) OVER (PARTITION BY doc_id ORDER BY k) AS i2 FROM real),
-later AS (SELECT doc_id, i, i2, row_number() OVER (PARTITION BY line, line2 ORDER BY doc_id, k) AS copy FROM runs WHERE line2 IS NOT NULL),
-gone AS (SELECT DISTINCT doc_id, unnest([i, i2]) AS i FROM later WHERE copy > 1),
+gone AS (SELECT doc_id, i FROM (SELECT doc_id, i, row_number() OVER (PARTITION BY line ORDER BY doc_id, k) AS copy FROM real) WHERE copy > 1),
 kept AS (
   SELECT c.doc_id, string_agg(c.line, chr(10) ORDER BY c.i) FILTER (WHERE g.i IS NULL) AS text, count(g.i) AS n_removed
   FROM cut c LEFT JOIN gone g ON c.doc_id = g.doc_id AND c.i = g.i GROUP BY c.doc_id),

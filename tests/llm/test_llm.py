@@ -351,19 +351,46 @@ def test_single_lines_in_query_and_stage(spark, docs, texts):
     import corpus_pipeline
 
     want = slow_lines(texts.items(), 1)
-    assert want != slow_lines(texts.items(), 2)
-    got = table(queries.QUERIES["op1_line_dedup_single"](spark, FOLDER))
+    got = table(queries.QUERIES["op1_line_dedup"](spark, FOLDER))
     assert {i: r.kept_sha256 for i, r in got.items()} == {i: hashlib.sha256(want[i, t].encode()).hexdigest() for i, t in texts.items()}
     left = table(corpus_pipeline.drop_repeated_lines(spark, docs, FOLDER))
     assert {i: (r.text, r.n_chars) for i, r in left.items()} == {i: (want[i, t], len(want[i, t])) for i, t in texts.items()}
+    assert corpus_pipeline.drop_repeated_lines(spark, docs.drop("n_chars", "lang"), FOLDER).count() == docs.count()
 
 
 def test_maximal_runs(spark):
     pairs = [(1, "a\nb\nc\nd"), (2, "x\na\nb\nc\ny\nc\nd"), (3, "a\nb\nc\nd")]
-    got = line_dedup.repeated_runs(spark, spark.createDataFrame(pairs, "doc_id long, text string")).collect()
+    got = line_dedup.repeated_runs(spark, spark.createDataFrame(pairs, "doc_id long, text string"), min_lines=2).collect()
     assert sorted((r.id, r.k, r.n_lines, r.copy_id, r.copy_k) for r in got) == [(2, 1, 3, 1, 0), (2, 5, 2, 1, 2), (3, 0, 4, 1, 0)]
 
 
+def test_maximal_runs_are_the_longest_earlier_matches(spark):
+    rng = random.Random(11)
+    lines = {i: [rng.choice("abcd") for _ in range(rng.randint(0, 40))] for i in range(25)}
+    lines[25], lines[26] = lines[3] * 3, ["z", *lines[3] * 3]
+    docs = spark.createDataFrame([(i, "\n".join(x)) for i, x in lines.items()], "doc_id long, text string")
+    flat = [(i, k) for i, x in lines.items() for k in range(len(x))]
+
+    def match(p, q):
+        (i, a), (j, b) = p, q
+        n = 0
+        while a + n < len(lines[i]) and b + n < len(lines[j]) and lines[i][a + n] == lines[j][b + n]:
+            n += 1
+        return n
+
+    for m in (1, 3, 4):
+        want = set()
+        for at, p in enumerate(flat):
+            n = max((match(p, q) for q in flat[:at]), default=0)
+            want |= {(p[0], p[1] + x) for x in range(n)} if n >= m else set()
+        intervals = line_dedup.lcp_intervals(Scratch(spark, "test"), line_dedup.line_ids(docs), m)
+        runs = line_dedup.maximal_runs(intervals).collect()
+        assert {(r.id, r.k + x) for r in runs for x in range(r.n)} == want
+        assert 2 * intervals[-1][0] > max(match(p, q) for at, p in enumerate(flat) for q in flat[:at]) >= intervals[-1][0]
+        for r in line_dedup.repeated_runs(spark, docs, min_lines=m).collect():
+            assert match((r.id, r.k), (r.copy_id, r.copy_k)) >= r.n_lines >= m
+
+
 def test_line_dedup_edges(spark, edge, none):
     got = line_dedup.dedup_lines(spark, edge)
     assert got.columns == edge.columns
@@ -371,6 +398,9 @@ def test_line_dedup_edges(spark, edge, none):
     assert len(rows) == len(EDGE)
     by = {r.doc_id: r.text for r in rows if r.doc_id}
     assert (by[1], by[2], by[7], by[8]) == (None, "", "a b c\nd e f\ng", "x")
+    clash = edge.select("doc_id", "text", *(F.lit(1).alias(c) for c in ("id", "th", "k", "n", "gone", "first", "r", "a")))
+    assert line_dedup.dedup_lines(spark, clash).columns == clash.columns
+    assert line_dedup.dedup_lines(spark, clash).count() == len(EDGE)
     assert line_dedup.dedup_lines(spark, none).collect() == []
     assert line_dedup.dedup_lines(spark, none, digest=True).collect() == []
 
