@@ -1,11 +1,11 @@
 """SimHash near-duplicates by tables of distances to reference fingerprints.
 
 A fingerprint's coordinates are its Hamming distances to reference fingerprints (pivots). Two fingerprints that
-differ in three bits have coordinates that differ by three at most, so a larger difference discards a pair.
-Ten of the tables have pivots that differ from a base in one bit each, over two of five segments of the word:
-d(x, base ^ bit) - d(x, base) is +1 or -1 by that bit of x ^ base, so equal coordinates mean equal segments. Of
-five segments three bits can touch three, so linked fingerprints agree in all coordinates of one table: those
-are looked up by equality. Within a bucket, pivots spread over the word discard pairs, and what is left is verified.
+differ in three bits have coordinates that differ by three at most, so a larger difference discards a pair. The
+pivots are a base and, for each of five segments of the word, some that differ from the base within that segment
+alone. Of five segments three bits can touch three: relative to their distance to the base, the coordinates that
+linked fingerprints have to the pivots of two segments are equal. Each two segments are a table that is looked up
+by these coordinates; a pair found there is discarded by its largest difference over all pivots, or verified.
 """
 
 from __future__ import annotations
@@ -16,32 +16,28 @@ from itertools import combinations
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import Scratch, slices, texts_of
+from .common import Scratch, mix, slices, texts_of
 from .tokens import partitions
 
 #: Differing bits of linked fingerprints, words of a shingle, and seed of its hash.
 DISTANCE, SHINGLE, SEED = 3, 3, 42
 SEGMENTS = 5
-#: Pivots that discard pairs within a bucket.
-PIVOTS = 16
-#: A bucket with more fingerprints is dealt out anew by more segments.
+#: Pivots of a segment of more bits than that; a shorter one has a pivot for each bit.
+PIVOTS = 10
+#: A bucket with more fingerprints is dealt out anew by pivots of more segments.
 LARGE = 8192
-#: Buckets up to this size are compared all at once.
-SMALL = 48
+#: Pairs that are looked at at once.
+PAIRS = 4 << 20
 BASE = 0x9E3779B97F4A7C15
 
 _M = (1 << 64) - 1
 
 
-def _signed(x: int) -> int:
-    return x - (1 << 64) if x >> 63 else x
-
-
-def _pivot(k: int) -> int:
-    """The k-th reference fingerprint: a fixed mix of its number."""
+def _mixed(k: int) -> int:
+    """A fixed mix of a number."""
     x = (k + 1) * BASE & _M
     x = (x ^ (x >> 30)) * 0xBF58476D1CE4E5B9 & _M
     x = (x ^ (x >> 27)) * 0x94D049BB133111EB & _M
@@ -53,15 +49,38 @@ def _cut(bits: list[int], n: int) -> list[int]:
     return [sum(1 << b for b in bits[len(bits) * i // n : len(bits) * (i + 1) // n]) for i in range(n)]
 
 
-def tables() -> list[int]:
-    """Masks of the bits that the coordinates of each table tell."""
-    return [a | b for a, b in combinations(_cut([*range(64)], SEGMENTS), SEGMENTS - DISTANCE)]
+def pivots(segment: int) -> list[int]:
+    """Reference fingerprints that differ from the base within a segment: in about half of its bits, or in one each if it is short."""
+    bits = [b for b in range(64) if segment >> b & 1]
+    if len(bits) <= PIVOTS:
+        return [BASE ^ 1 << b for b in bits]
+    return [BASE ^ (_mixed(bits[0] * PIVOTS + j) & segment) for j in range(PIVOTS)]
+
+
+WORD = _cut([*range(64)], SEGMENTS)
+#: Each table's segments, as places in WORD.
+TABLES = [*combinations(range(SEGMENTS), SEGMENTS - DISTANCE)]
+ALL_PIVOTS = [BASE, *(p for segment in WORD for p in pivots(segment))]
+
 
+def finer(table: int) -> list[list[int]]:
+    """For a table, lists of three further segments: of six parts of the bits it doesn't cover, three that the differing bits leave alone."""
+    covered = sum(WORD[i] for i in TABLES[table])
+    parts = _cut([b for b in range(64) if not covered >> b & 1], 2 * DISTANCE)
+    return [list(p) for p in combinations(parts, DISTANCE)]
 
-def finer(mask: int) -> list[int]:
-    """Masks that also take half of the other bits: of six parts, three that the differing bits leave alone."""
-    parts = _cut([b for b in range(64) if not mask >> b & 1], 2 * DISTANCE)
-    return [mask | a | b | c for a, b, c in combinations(parts, DISTANCE)]
+
+def coordinates(x: np.ndarray, segment: int) -> np.ndarray:
+    """Distances to the pivots of a segment, less that to the base: a row for each pivot."""
+    return np.stack([np.bitwise_count(x ^ np.uint64(p)) for p in pivots(segment)]).astype(np.int8) - np.bitwise_count(x ^ np.uint64(BASE)).astype(np.int8)
+
+
+def buckets(x: np.ndarray, segments: list[int]) -> np.ndarray:
+    """The same number for fingerprints of equal coordinates; others that a hash gives it too do no harm."""
+    key = np.zeros(len(x), np.uint64)
+    for c in (c for segment in segments for c in coordinates(x, segment)):
+        key = mix(key ^ (c.astype(np.int64) + 64).astype(np.uint64))
+    return key
 
 
 def fingerprint(text: bytes) -> int:
@@ -78,36 +97,46 @@ def fingerprint(text: bytes) -> int:
     return int(np.packbits(2 * bits > len(h), bitorder="little").view("<u8")[0])
 
 
-def fingerprints(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
-    """(doc_id, fp): a row per row of docs; the bits as a signed long. A null text has no words, and fingerprint zero."""
+def fingerprints(docs: DataFrame, text: str, keep: list[str]) -> DataFrame:
+    """The columns to keep, of longs, and fp: a row per row of docs; the bits as a signed long. A null text has no words, and fingerprint zero."""
 
     def sign(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches, "text"):
             fp = np.array([fingerprint(t) for t in texts_of(batch, "text")], np.uint64).view(np.int64)
-            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(fp)], ["doc_id", "fp"])
-
-    return docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).alias("text")).mapInArrow(sign, "doc_id long, fp long")
-
-
-def close_pairs(x: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Places of all pairs within the distance, by a sweep over the first coordinate and the others' differences."""
-    table = np.stack([np.bitwise_count(x ^ np.uint64(_pivot(k))) for k in range(PIVOTS)]).astype(np.int8)
-    order = np.argsort(table[0], kind="stable")
-    x, table = x[order], table[:, order]
-    end = np.searchsorted(table[0], table[0] + DISTANCE, side="right")
-    found: list[tuple[np.ndarray, np.ndarray]] = []
-    step = max(1, min(256, (4 << 20) // max(len(x), 1)))
-    for i in range(0, len(x), step):
-        rows = np.arange(i, min(i + step, len(x)))
-        n = end[rows] - rows - 1
-        a = np.repeat(rows, n)
-        b = a + 1 + np.arange(int(n.sum())) - np.repeat(np.cumsum(n) - n, n)
+            yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in keep), pa.array(fp)], [*keep, "fp"])
+
+    return docs.select(*keep, F.col(text).alias("text")).mapInArrow(sign, ", ".join(f"{c} long" for c in [*keep, "fp"]))
+
+
+def pivot_table(x: np.ndarray) -> np.ndarray:
+    """Distances of fingerprints to all pivots: a row for each pivot."""
+    return np.stack([np.bitwise_count(x ^ np.uint64(p)) for p in ALL_PIVOTS]).astype(np.int8)
+
+
+def close_pairs(x: np.ndarray, bucket: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """Places of all pairs of one bucket within the distance; buckets stand together, numbered from 0 on.
+
+    Within a bucket, fingerprints are sorted by their first coordinate; those up to three further are looked at, and
+    left by the first other coordinate that differs by more.
+    """
+    table = pivot_table(x)
+    rank = bucket * 256 + table[0]
+    order = np.argsort(rank, kind="stable")
+    x, table, rank = x[order], table[:, order], rank[order]
+    n = np.searchsorted(rank, rank + DISTANCE, side="right") - np.arange(len(x)) - 1
+    before = np.concatenate([[0], np.cumsum(n)])
+    start = 0
+    while start < len(x):
+        end = max(start + 1, int(np.searchsorted(before, before[start] + PAIRS, side="right")) - 1)
+        some = n[start:end]
+        a = np.repeat(np.arange(start, end), some)
+        b = a + 1 + np.arange(len(a)) - np.repeat(before[start:end] - before[start], some)
         for coordinate in table[1:]:
             near = np.abs(coordinate[a] - coordinate[b]) <= DISTANCE
             a, b = a[near], b[near]
         near = np.bitwise_count(x[a] ^ x[b]) <= DISTANCE
-        found.append((order[a[near]], order[b[near]]))
-    return tuple(np.concatenate(p) for p in zip(*found, strict=True)) if found else (np.zeros(0, np.int64),) * 2
+        yield order[a[near]], order[b[near]]
+        start = end
 
 
 def forest(n: int, a: np.ndarray, b: np.ndarray) -> np.ndarray:
@@ -130,24 +159,8 @@ def _bucket_links(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]
     """Rows (t, key, fp) sorted by bucket, over batches -> (u, v): each fingerprint and the least it is linked to in its bucket."""
 
     def links(t: np.ndarray, key: np.ndarray, fp: np.ndarray) -> pa.RecordBatch:
-        x = fp.view(np.uint64)
-        new = np.concatenate([[True], (t[1:] != t[:-1]) | (key[1:] != key[:-1])])
-        start = np.flatnonzero(new)
-        size = np.diff(np.append(start, len(fp)))
-        bucket = np.repeat(np.arange(len(start)), size)
-        pairs: list[tuple[np.ndarray, np.ndarray]] = []
-        small = np.flatnonzero((size <= SMALL)[bucket])
-        for gap in range(1, SMALL):
-            a = small[small + gap < len(fp)]
-            a = a[bucket[a + gap] == bucket[a]]
-            if not len(a):
-                break
-            near = a[np.bitwise_count(x[a] ^ x[a + gap]) <= DISTANCE]
-            pairs.append((near, near + gap))
-        for k in np.flatnonzero(size > SMALL).tolist():
-            a, b = close_pairs(x[start[k] : start[k] + size[k]])
-            pairs.append((a + start[k], b + start[k]))
-        a, b = (np.concatenate(p) for p in zip(*pairs, strict=True)) if pairs else (np.zeros(0, np.int64),) * 2
+        bucket = np.cumsum(np.concatenate([[False], (t[1:] != t[:-1]) | (key[1:] != key[:-1])]))
+        a, b = (np.concatenate(p) for p in zip(*close_pairs(fp.view(np.uint64), bucket), strict=True))
         root = forest(len(fp), a, b)
         linked = np.flatnonzero(root != np.arange(len(fp)))
         return pa.RecordBatch.from_pydict({"u": fp[linked], "v": fp[root[linked]]})
@@ -165,34 +178,32 @@ def _bucket_links(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]
         yield links(*held)
 
 
-def _keys(masks: list[int], number: int = 0) -> Column:
-    return F.array(*(F.struct(F.lit(number + i).cast("long").alias("t"), F.col("fp").bitwiseXOR(F.lit(_signed(BASE))).bitwiseAND(F.lit(_signed(m))).alias("key")) for i, m in enumerate(masks)))
-
-
 def links(scratch: Scratch, distinct: DataFrame) -> DataFrame:
     """(u, v): links that join all fingerprints within the distance, at most one for each of them, table and bucket."""
-    masks = tables()
     n = partitions(distinct.sparkSession)
 
-    def bucketed(df: DataFrame, name: str) -> tuple[DataFrame, DataFrame]:
-        sizes = scratch.table(df.groupBy("t", "key").agg(F.count("*").alias("n")).filter("n > 1"), name)
-        return df, sizes
+    def bucketed(df: DataFrame, tables: dict[int, list[int]], name: str) -> tuple[DataFrame, DataFrame]:
+        def look_up(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            for batch in batches:
+                x = batch.column("fp").to_numpy().view(np.uint64)
+                for t, segments in tables.items():
+                    yield pa.RecordBatch.from_arrays([batch.column("fp"), pa.array(np.full(len(x), t)), pa.array(buckets(x, segments).view(np.int64))], ["fp", "t", "key"])
+
+        each = df.select("fp").mapInArrow(look_up, "fp long, t long, key long")
+        return each, scratch.table(each.groupBy("t", "key").agg(F.count("*").alias("n")).filter("n > 1"), name)
 
     def compared(df: DataFrame) -> DataFrame:
         return df.select("t", "key", "fp").repartition(n, "t", "key").sortWithinPartitions("t", "key", "fp").mapInArrow(_bucket_links, "u long, v long")
 
-    first, sizes = bucketed(distinct.select("fp", F.explode(_keys(masks)).alias("k")).select("fp", "k.t", "k.key"), "buckets")
+    first, sizes = bucketed(distinct, {t: [WORD[i] for i in table] for t, table in enumerate(TABLES)}, "buckets")
     out = compared(first.join(sizes.filter(F.col("n") <= LARGE), ["t", "key"]))
     large = sizes.filter(F.col("n") > LARGE)
-    if not large.isEmpty():
-        again = scratch.table(first.join(large, ["t", "key"]).select("t", "fp"), "large")
-        parts = [again.filter(F.col("t") == t).select("fp", F.explode(_keys(finer(m), 1000 * (t + 1))).alias("k")) for t, m in enumerate(masks)]
-        deep = parts[0]
-        for p in parts[1:]:
-            deep = deep.unionByName(p)
+    for t, table in enumerate(TABLES) if not large.isEmpty() else []:
+        again = scratch.table(first.filter(F.col("t") == t).join(large, ["t", "key"]).select("fp"), f"hot-{t}")
+        own = [WORD[i] for i in table]
+        deep, deep_sizes = bucketed(again, {1000 * (t + 1) + k: own + more for k, more in enumerate(finer(t))}, f"deep-{t}")
         # equal in 44 bits, a bucket has 2**20 fingerprints at most, of 8 bytes
-        deep, sizes = bucketed(deep.select("fp", "k.t", "k.key"), "deep_buckets")
-        out = out.unionByName(compared(deep.join(sizes, ["t", "key"])))
+        out = out.unionByName(compared(deep.join(deep_sizes, ["t", "key"])))
     return scratch.table(out.distinct(), "links")
 
 
@@ -227,7 +238,7 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, doc_id: str = "doc_id"
     repeated in the result. No rows, no result rows.
     """
     scratch = Scratch(spark, "near_dedup")
-    signed = scratch.table(fingerprints(docs, doc_id, text), "fingerprints")
+    signed = scratch.table(fingerprints(docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).alias("text")), "text", ["doc_id"]), "fingerprints")
     nodes = scratch.table(signed.groupBy("fp").agg(F.min("doc_id").alias("first")), "nodes")
     roots = components(scratch, links(scratch, nodes.select("fp")))
     rooted = nodes.join(roots.withColumnRenamed("u", "fp"), "fp", "left").select("fp", "first", F.coalesce("root", "fp").alias("root"))
@@ -236,12 +247,20 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, doc_id: str = "doc_id"
     return signed.join(classes, "fp").select("doc_id", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id")
 
 
-def one_of_each(spark: SparkSession, docs: DataFrame) -> DataFrame:
-    """The rows of docs whose doc_id is the least of its component, all columns as they are, one row for each id.
+def one_of_each(spark: SparkSession, docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
+    """The rows of docs that are the first of their component, by doc_id and a hash of the text; all columns as they are.
 
-    Rows with a null id have no say in a component and stay.
+    Rows are told apart by id and text, so rows of one id with texts that aren't alike stay; rows equal in both are
+    one document, of which one row stays. Null ids come last: such a row stays only where no row with an id is alike.
     """
-    found = near_duplicates(spark, docs)
-    kept = found.filter("doc_id = component_id").select("doc_id").distinct()
-    named = docs.join(kept.hint("merge"), "doc_id", "left_semi").dropDuplicates(["doc_id"])
-    return named.select(docs.columns).unionByName(docs.filter(F.col("doc_id").isNull()))
+    scratch = Scratch(spark, "near_dedup")
+    names = [f"_{i}" for i in range(len(docs.columns))]
+    i, t = names[docs.columns.index(doc_id)], names[docs.columns.index(text)]
+    key = [F.coalesce(F.col(i).cast("long"), F.lit((1 << 63) - 1)).alias("id"), F.xxhash64(t).alias("th")]
+    keyed = docs.toDF(*names).select(*names, *key)
+    signed = scratch.table(fingerprints(keyed, t, ["id", "th"]).distinct(), "fingerprints")
+    roots = components(scratch, links(scratch, signed.select("fp").distinct()))
+    rooted = signed.join(roots.withColumnRenamed("u", "fp"), "fp", "left").select("id", "th", F.coalesce("root", "fp").alias("root"))
+    first = scratch.table(rooted.groupBy("root").agg(F.min(F.struct("id", "th")).alias("f")).select("f.id", "f.th"), "first")
+    kept = keyed.join(first.hint("merge"), ["id", "th"], "left_semi")
+    return kept.dropDuplicates(["id", "th"]).select(names).toDF(*docs.columns)

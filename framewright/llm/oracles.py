@@ -27,11 +27,16 @@ windows AS (
   SELECT doc_id, n, i, array_to_string(w[i:i + n - 1], ' ') AS phrase
   FROM dw, sizes, unnest(generate_series(1, len(w) - n + 1)) AS t(i) WHERE len(w) >= n),
 found AS (SELECT v.doc_id, v.n, v.i, p.item_id FROM windows v JOIN phrases p ON v.n = p.n AND v.phrase = p.phrase),
-hits AS (SELECT doc_id, count(DISTINCT j) AS n_hit FROM (SELECT doc_id, unnest(generate_series(i, i + n - 1)) AS j FROM found) GROUP BY doc_id),
+cover AS (SELECT DISTINCT doc_id, unnest(generate_series(i, i + n - 1)) AS j FROM found),
+islands AS (SELECT doc_id, j, CASE WHEN lag(j) OVER (PARTITION BY doc_id ORDER BY j) = j - 1 THEN 0 ELSE 1 END AS new FROM cover),
+hits AS (SELECT doc_id, count(*) AS n_hit, sum(new) AS n_spans FROM islands GROUP BY doc_id),
+words AS (SELECT doc_id, unnest(w) AS word, generate_subscripts(w, 1) AS j FROM dw),
+remaining AS (SELECT o.doc_id, string_agg(o.word, ' ' ORDER BY o.j) AS text FROM words o ANTI JOIN cover c ON o.doc_id = c.doc_id AND o.j = c.j GROUP BY o.doc_id),
 items AS (SELECT doc_id, count(*) AS n_items, string_agg(item, ',' ORDER BY item) AS items FROM (SELECT DISTINCT doc_id, item_id::VARCHAR AS item FROM found) GROUP BY doc_id)
 SELECT dw.doc_id, len(w)::BIGINT AS n_words, coalesce(n_hit, 0)::BIGINT AS n_hit, coalesce(n_items, 0)::BIGINT AS n_items,
-  sha256(coalesce(items, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AND 20 * coalesce(n_hit, 0) >= len(w) AS contaminated
-FROM dw LEFT JOIN hits USING (doc_id) LEFT JOIN items USING (doc_id)
+  sha256(coalesce(items, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AND 20 * coalesce(n_hit, 0) >= len(w) AS contaminated,
+  coalesce(n_spans, 0)::BIGINT AS n_spans, sha256(coalesce(remaining.text, '')) AS left_sha256
+FROM dw LEFT JOIN hits USING (doc_id) LEFT JOIN items USING (doc_id) LEFT JOIN remaining USING (doc_id)
 """
 
 SUBSTRING_DEDUP = rf"""

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from .. import ship
 from . import decontaminate, line_dedup, near_dedup, oracles, packing, quality_classifier, quality_rules, substring_dedup, token_counts, token_files, toxicity
@@ -27,7 +28,7 @@ def op3_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op4_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = decontaminate.find_passages(spark, _table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
-    return found.select("doc_id", "n_words", "n_hit", "n_items", "items_sha256", "contaminated")
+    return found.select("doc_id", "n_words", "n_hit", "n_items", "items_sha256", "contaminated", F.size("spans").cast("long").alias("n_spans"), "left_sha256")
 
 
 def op5_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:

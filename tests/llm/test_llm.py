@@ -272,12 +272,13 @@ def test_near_duplicates_edges(spark, edge, none):
     assert kept.columns == edge.columns
     ids = [r.doc_id for r in kept.collect()]
     assert sorted(i for i in ids if i) == [1, 4, 5, 7, 8, 9, 10, 11]
-    assert ids.count(None) == 2
+    assert ids.count(None) == 1  # the null text without an id is like the one of id 1
+    one_id = spark.createDataFrame([(5, "a first text of its own"), (5, "another one that differs in all"), (5, "a first text of its own"), (6, None), (7, "a first text of its own")], "doc_id long, text string")
+    assert sorted((r.doc_id, r.text or "") for r in near_dedup.one_of_each(spark, one_id).collect()) == [(5, "a first text of its own"), (5, "another one that differs in all"), (6, "")]
 
 
 def test_links_of_large_buckets(spark, monkeypatch):
     monkeypatch.setattr(near_dedup, "LARGE", 40)
-    monkeypatch.setattr(near_dedup, "SMALL", 8)
     rng = np.random.default_rng(2)
     x = {0}
     while len(x) < 400:  # a chain of near copies in few bits
@@ -290,13 +291,32 @@ def test_links_of_large_buckets(spark, monkeypatch):
     assert {v: got.get(v, v) for v in prints} == link_all(prints)
 
 
-def test_close_pairs():
+def test_close_pairs(monkeypatch):
+    monkeypatch.setattr(near_dedup, "PAIRS", 50)
     rng = np.random.default_rng(1)
     x = rng.integers(0, 2**64, 60, dtype=np.uint64)
     near = x[:30] ^ (np.uint64(1) << rng.integers(0, 64, 30).astype(np.uint64)) ^ (np.uint64(1) << rng.integers(0, 64, 30).astype(np.uint64))
     x = np.unique(np.concatenate([x, near]))
-    got = {tuple(sorted(p)) for p in zip(*(a.tolist() for a in near_dedup.close_pairs(x)), strict=True)}
-    assert got == {(i, j) for i in range(len(x)) for j in range(i + 1, len(x)) if int(x[i] ^ x[j]).bit_count() <= 3}
+    bucket = np.arange(len(x)) // 40
+    got = {tuple(sorted(p)) for ab in near_dedup.close_pairs(x, bucket) for p in zip(*(a.tolist() for a in ab), strict=True)}
+    assert got == {(i, j) for i in range(len(x)) for j in range(i + 1, len(x)) if bucket[i] == bucket[j] and int(x[i] ^ x[j]).bit_count() <= 3}
+
+
+def test_coordinates_of_linked_fingerprints_are_equal_in_a_table():
+    rng = np.random.default_rng(4)
+    x = rng.integers(0, 2**64, 300, dtype=np.uint64)
+    y = x.copy()
+    for _ in range(3):
+        y ^= np.uint64(1) << rng.integers(0, 64, 300).astype(np.uint64)
+    found = np.zeros(300, bool)
+    for table in near_dedup.TABLES:
+        segments = [near_dedup.WORD[i] for i in table]
+        equal = np.logical_and.reduce([(near_dedup.coordinates(x, s) == near_dedup.coordinates(y, s)).all(axis=0) for s in segments])
+        assert (near_dedup.buckets(x, segments) == near_dedup.buckets(y, segments))[equal].all()
+        found |= equal
+    assert found.all()
+    far = np.abs(near_dedup.pivot_table(x)[:, None, :] - near_dedup.pivot_table(x)[:, :, None]).max(axis=0)
+    assert (far[~np.eye(300, dtype=bool)] > 3).all()  # pivots alone tell random fingerprints apart
 
 
 # SQL twins
@@ -410,8 +430,10 @@ def test_line_dedup_edges(spark, edge, none):
 
 def test_fm_index():
     rng = np.random.default_rng(4)
-    s = rng.integers(0, 5, 300)
-    index = decontaminate.FMIndex(s, 4)
+    s = np.append(rng.integers(1, 5, 300), 0)
+    index = decontaminate.FMIndex.of(s)
+    assert decontaminate.suffix_array(s).tolist() == sorted(range(301), key=lambda i: s[i:].tolist())
+    index = decontaminate.FMIndex.from_arrays(index.arrays())
     for width in (1, 2, 5):
         phrases = np.unique(rng.integers(1, 5, (40, width)), axis=0)
         lo, hi = index.search(phrases)
@@ -435,6 +457,23 @@ def test_decontamination_edges(spark, edge, none):
     kept = decontaminate.without_contaminated(spark, edge, items)
     assert kept.columns == edge.columns
     assert sorted(r.doc_id or 0 for r in kept.collect()) == [0, 1, 2, 3, 5, 6, 7, 8, 9, 10, 11]
+    # a share that is no unit fraction: 3 of 7 words are hit
+    three = spark.createDataFrame([(1, "a b c d e f g")], "doc_id long, text string"), spark.createDataFrame([(1, "c d e")], "item_id long, text string")
+    for share, n in ((0.42, 0), (0.43, 1), (0.3, 0)):
+        assert decontaminate.without_contaminated(spark, *three, share=share).count() == n
+    cut = decontaminate.without_contaminated(spark, *three, share=0.9, cut=True).collect()
+    assert [r.text for r in cut] == ["a b  f g"]
+
+
+def test_a_stored_index_serves_other_benchmarks(spark, docs):
+    scratch = Scratch(spark, "test")
+    items = spark.read.parquet(f"{FOLDER}/benchmark.parquet")
+    manifest = scratch.table(decontaminate.build_index(docs, f"{scratch.uri}/index"), "manifest")
+    for some in (items, items.limit(5), items.limit(0)):
+        got, want = table(decontaminate.search_index(spark, manifest, some)), table(decontaminate.find_passages(spark, docs, some))
+        assert got == want
+    kept = {r.doc_id for r in decontaminate.without_contaminated(spark, docs, items).collect()}
+    assert kept == {i for i, r in table(decontaminate.search_index(spark, manifest, items)).items() if not r.contaminated}
 
 
 def test_blocks_of_items(spark, docs, monkeypatch):
