@@ -25,8 +25,11 @@ _owners: list[str] = []
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder that driver and executors share: spark.checkpoint.dir, else a local one."""
-    return (spark.conf.get("spark.checkpoint.dir", None) or LOCAL_SHARED_DIR).rstrip("/")
+    """The folder that driver and executors share: spark.checkpoint.dir, else a local one where there is one machine only."""
+    folder = spark.conf.get("spark.checkpoint.dir", None)
+    if not folder and not spark.sparkContext.master.startswith("local"):
+        raise RuntimeError("spark.checkpoint.dir must name a folder that driver and executors share")
+    return (folder or LOCAL_SHARED_DIR).rstrip("/")
 
 
 def delete(uri: str) -> None:
@@ -41,6 +44,17 @@ def store(uri: str) -> tuple[pafs.FileSystem, str]:
     return pafs.FileSystem.from_uri(uri if re.match(r"\w+:", uri) else f"file://{uri}")
 
 
+def is_scan(df: DataFrame) -> bool:
+    """Whether df is files with columns chosen and rows filtered, so that its partitions are the same each time."""
+
+    def plain(plan: object) -> bool:
+        children = plan.children()
+        return plan.nodeName() in ("Project", "Filter", "LogicalRelation", "RelationV2") and all(plain(children.apply(i)) for i in range(children.size()))
+
+    plan = df._jdf.queryExecution().optimizedPlan()
+    return plan.deterministic() and plain(plan)
+
+
 class Scratch:
     """A folder in the shared store for one run of an operator.
 

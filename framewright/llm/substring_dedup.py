@@ -1,8 +1,10 @@
 """Substring dedup: a count-min sketch finds windows that may repeat; only these are then grouped exactly.
 
 Texts are never shuffled. Each task reads its documents three times: it sends a sketch of its windows, sends the
-windows whose merged cells are counted twice or more, and removes the words of those that do repeat. Sketches are
-cut by hash into shards, which other tasks merge; their answers lie in the shared folder, by scan partition.
+windows whose merged cells are counted twice or more, and removes the words of those that do repeat. A sketch has as
+many cells as all windows need, so what a task sends of it is its cells that aren't zero, as sorted gaps. Sketches are
+cut by hash into shards of fixed size, which other tasks add up; their answers lie in the shared folder, by scan
+partition. Windows are grouped, and removed, by 128 bits of hash.
 """
 
 from __future__ import annotations
@@ -18,7 +20,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import Scratch, Words, slices, store, texts_of, window_hashes
+from .common import Scratch, Words, is_scan, slices, store, texts_of, window_hashes
 from .tokens import partitions
 
 #: Bits of a cell's number, rows of the sketch, and windows for which a shard is made.
@@ -122,6 +124,20 @@ def repeated_of(windows: list[tuple[np.ndarray, np.ndarray, np.ndarray]]) -> lis
     return np.split(out, np.cumsum([len(x) for x, _, _ in windows])[:-1])
 
 
+def among(a: np.ndarray, b: np.ndarray, many_a: np.ndarray, many_b: np.ndarray) -> np.ndarray:
+    """For each pair (a, b), whether it is one of the given, which are sorted by a."""
+    hit = np.zeros(len(a), bool)
+    at = np.searchsorted(many_a, a)
+    live = np.arange(len(a))
+    while len(live):
+        live = live[at[live] < len(many_a)]
+        live = live[many_a[at[live]] == a[live]]
+        hit[live] |= many_b[at[live]] == b[live]
+        live = live[~hit[live]]
+        at[live] += 1
+    return hit
+
+
 def _numbers(raw: bytes) -> np.ndarray:
     return np.frombuffer(raw, "<u8")
 
@@ -174,11 +190,13 @@ def repeated_windows(scratch: Scratch, docs: DataFrame, text: str, width: int) -
 
     def group(table: pa.Table) -> pa.Table:
         windows = [(_numbers(a), _numbers(b), np.frombuffer(m, bool)) for a, b, m in zip(*(table.column(c).to_pylist() for c in ("a", "b", "many")), strict=True)]
-        found = [a[r].tobytes() for (a, _, _), r in zip(windows, repeated_of(windows), strict=True)]
-        return table.select(["digest", "part", "chunk"]).append_column("a", pa.array(found, pa.binary()))
+        out = table.select(["digest", "part", "chunk"])
+        for lane, name in enumerate("ab"):
+            out = out.append_column(name, pa.array([w[lane][r].tobytes() for w, r in zip(windows, repeated_of(windows), strict=True)], pa.binary()))
+        return out
 
     sent = docs.mapInArrow(send, "digest long, shard int, part int, chunk int, a binary, b binary, many binary")
-    return _answers(scratch, sent.groupBy("shard").applyInArrow(group, "digest long, part int, chunk int, a binary"), "windows", n)
+    return _answers(scratch, sent.groupBy("shard").applyInArrow(group, "digest long, part int, chunk int, a binary, b binary"), "windows", n)
 
 
 def _answers(scratch: Scratch, df: DataFrame, name: str, n: int) -> str:
@@ -206,11 +224,13 @@ def remove_repeats(spark: SparkSession, docs: DataFrame, doc_id: str = "doc_id",
 
     One row per row of docs: doc_id, n_words, n_removed, kept_sha256 (of the kept words, joined by spaces), and
     kept, that text, if asked for. A null or empty text has no words; a text shorter than the window keeps all;
-    repeated rows are copies of each other and lose their windows. `docs` must give the same rows to the same
-    partitions each time it is computed, as a scan of files does; a frame that doesn't should be written first.
+    repeated rows are copies of each other and lose their windows. Rows must come in the same partitions each time
+    they are read, as a scan of files has them; any other input is written to the shared folder first.
     """
     chosen = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).alias("text"))
     scratch = Scratch(spark, "substring_dedup")
+    if not is_scan(chosen):
+        chosen = scratch.table(chosen, "input")
     folder = repeated_windows(scratch, chosen.select("text"), "text", width)
 
     def remove(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -218,11 +238,13 @@ def remove_repeats(spark: SparkSession, docs: DataFrame, doc_id: str = "doc_id",
         for k, batch in enumerate(slices(batches, "text", CHUNK_BYTES)):
             chunk = Chunk(texts_of(batch, "text"), width)
             found = [*replies.get(k, {}).values()]
-            often = np.sort(np.concatenate([_numbers(r["a"]) for r in found])) if found else np.zeros(0, np.uint64)
             a = chunk.hashes(0)
             same_chunk(found, a)
-            at = np.minimum(np.searchsorted(often, a), max(len(often) - 1, 0))
-            hit = chunk.place[often[at] == a] if len(often) else chunk.place[:0]
+            hit = chunk.place[:0]
+            if found:
+                often = [np.concatenate([_numbers(r[lane]) for r in found]) for lane in "ab"]
+                order = np.argsort(often[0])
+                hit = chunk.place[among(a, chunk.hashes(1), often[0][order], often[1][order])]
             cover = np.zeros(len(chunk.words) + 1, np.int64)
             cover[hit] += 1
             cover[hit + width] -= 1

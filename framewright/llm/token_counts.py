@@ -6,14 +6,14 @@ from collections import Counter
 from collections.abc import Iterable, Iterator
 
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from .common import Scratch, slices, texts_of
 from .tokens import TOKENIZER, encoder
 
 #: Lengths whose suffix sums one task adds up; blocks are summed on their own.
-BLOCK = 1024
+BLOCK = 128
 
 
 def length_histogram(docs: DataFrame, text: str = "text", tokenizer: str = TOKENIZER, end_tokens: int = 1) -> DataFrame:
@@ -38,8 +38,7 @@ def context_totals(histogram: DataFrame) -> DataFrame:
 
     length, n_docs; docs_at_least and tokens_at_least: documents of this length or more and their tokens;
     truncated_tokens: tokens left when every document is cut to this limit; docs_up_to and quantile: documents
-    of this length or less, as a number and as a share. A limit between two lengths L < M has the totals of M
-    for documents_at_least, and truncated_tokens(L) + (limit - L) * docs_at_least(M).
+    of this length or less, as a number and as a share. `at_limits` and `quantiles` answer for any limit or share.
     """
     h = histogram.withColumns({"tokens": F.col("length") * F.col("n_docs"), "block": F.floor(F.col("length") / BLOCK)})
     blocks = h.groupBy("block").agg(F.sum("n_docs").alias("d"), F.sum("tokens").alias("t"))
@@ -60,6 +59,28 @@ def context_totals(histogram: DataFrame) -> DataFrame:
     )
 
 
+def at_limits(totals: DataFrame, limits: list[int]) -> DataFrame:
+    """limit, docs_at_least, tokens_at_least, truncated_tokens for any context limits, from the rows of context_totals.
+
+    A limit has the suffix sums of the least length from it on; beyond the longest text, none. No rows give zeros.
+    """
+
+    def answer(limit: int) -> Column:
+        longest = F.when(F.col("length") >= limit, F.struct("docs_at_least", "tokens_at_least"))
+        rest = F.max(longest)  # of suffix sums, the largest is that of the least length
+        docs, tokens = (F.coalesce(rest[c], F.lit(0)) for c in ("docs_at_least", "tokens_at_least"))
+        everything = F.coalesce(F.max("tokens_at_least"), F.lit(0))
+        return F.struct(F.lit(limit).cast("long").alias("limit"), docs.alias("docs_at_least"), tokens.alias("tokens_at_least"), (everything - tokens + docs * limit).alias("truncated_tokens"))
+
+    return totals.agg(F.array(*map(answer, limits)).alias("a")).select(F.inline("a"))
+
+
+def quantiles(totals: DataFrame, shares: list[float]) -> DataFrame:
+    """share, length: the least length that such a share of the documents doesn't exceed; null without documents."""
+    each = [F.struct(F.lit(float(p)).alias("share"), F.min(F.when(F.col("quantile") >= p, F.col("length"))).alias("length")) for p in shares]
+    return totals.agg(F.array(*each).alias("a")).select(F.inline("a"))
+
+
 def token_totals(spark: SparkSession, docs: DataFrame, text: str = "text", tokenizer: str = TOKENIZER, end_tokens: int = 1) -> DataFrame:
     """context_totals of docs. The histogram is written first, as it is read twice and the texts shall be encoded once."""
     return context_totals(Scratch(spark, "token_counts").table(length_histogram(docs, text, tokenizer, end_tokens), "histogram"))

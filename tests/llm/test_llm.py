@@ -85,6 +85,13 @@ def test_token_counts(docs, texts, plain, edge, none):
         assert r.truncated_tokens == np.minimum(n, r.length).sum()
         assert r.docs_up_to == (n <= r.length).sum()
         assert r.quantile == pytest.approx((n <= r.length).mean())
+    totals = token_counts.token_totals(docs.sparkSession, docs)
+    limits = [0, 1, 2, 57, 512, 1000, 10**6]
+    for r, limit in zip(token_counts.at_limits(totals, limits).collect(), limits, strict=True):
+        assert (r.limit, r.docs_at_least, r.tokens_at_least, r.truncated_tokens) == (limit, (n >= limit).sum(), n[n >= limit].sum(), np.minimum(n, limit).sum())
+    for r in token_counts.quantiles(totals, [0.01, 0.5, 0.9, 1.0]).collect():
+        assert r.length == min(x for x in n if (n <= x).mean() >= r.share)
+    assert [r[1:] for r in token_counts.at_limits(totals.limit(0), [5]).collect()] == [(0, 0, 0)]
     assert sum(r.n_docs for r in token_counts.length_histogram(edge).collect()) == len(EDGE)
     assert token_counts.context_totals(token_counts.length_histogram(none)).collect() == []
 
@@ -500,6 +507,19 @@ def test_substring_edges(spark, edge, none):
     assert substring_dedup.remove_repeats(spark, none).collect() == []
 
 
+def test_substring_dedup_of_shuffled_input_and_long_texts(spark, docs, monkeypatch):
+    want = table(substring_dedup.remove_repeats(spark, docs))
+    assert table(substring_dedup.remove_repeats(spark, docs.repartition(4))) == want
+    monkeypatch.setattr(substring_dedup, "CHUNK_BYTES", 1000)  # most texts are longer than a chunk
+    assert table(substring_dedup.remove_repeats(spark, docs)) == want
+
+
+def test_pairs_of_hashes():
+    a, b = np.array([5, 1, 5, 5, 9], np.uint64), np.array([1, 1, 2, 4, 9], np.uint64)
+    assert substring_dedup.among(a, b, np.array([1, 5, 5, 9], np.uint64), np.array([2, 1, 4, 9], np.uint64)).tolist() == [True, False, False, True, True]
+    assert substring_dedup.among(a[:0], b[:0], a[:0], b[:0]).tolist() == []
+
+
 def test_sketch_never_loses_a_repeat():
     rng = np.random.default_rng(6)
     chunks = [rng.integers(0, 500, 300).astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15) for _ in range(4)]
