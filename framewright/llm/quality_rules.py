@@ -9,12 +9,12 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-WHITE = " \t\n\x0b\x0c\r"
-SYMBOLS = "#*$%&|<>"
+WHITE = "[\\x20\\x09-\\x0D]"
+WORD = "[^\\x20\\x09-\\x0D]"
+SYMBOLS = "[#*$%&|<>]"
 WINDOW = 5
 
 
-
 def rules() -> dict[str, Column]:
     """Failure tests by name; the place in this order is the bit."""
     n, share = F.col("n_words"), lambda c, percent, of: 100 * F.col(c) > percent * F.col(of)
@@ -47,12 +47,14 @@ def _dealt(value: Column, use) -> Column:
 
 
 def _repeat_words(words: Column) -> Column:
-    """Words in windows of five that a text has twice or more, the first included."""
+    """Words in windows of five that a text has twice or more, the first included; windows are told apart by 64 bits of hash."""
 
     def of(w: Column) -> Column:
-        shifted = [F.slice(w, k + 1, F.greatest(F.size(w) - (WINDOW - 1), F.lit(0))) for k in range(WINDOW)]
-        hashes = F.transform(F.arrays_zip(*shifted), lambda x: F.xxhash64(x))
-        return _dealt(hashes, covered)
+        return _dealt(_dealt(F.transform(w, lambda x: F.xxhash64(x)), windows), covered)
+
+    def windows(h: Column) -> Column:
+        first = F.slice(h, 1, F.greatest(F.size(h) - (WINDOW - 1), F.lit(0)))
+        return F.transform(first, lambda x, i: F.xxhash64(x, *(F.get(h, i + k) for k in range(1, WINDOW))))
 
     def covered(h: Column) -> Column:
         # only a text with a repeated window sorts its windows; those with an equal neighbour start repeats
@@ -76,19 +78,19 @@ def _measures(text: Column) -> Column:
     """A struct of all measurements of one text, from one pass of splitting."""
 
     def of(w: Column) -> Column:
-        bare = F.translate(text, WHITE, "")
-        lines = F.filter(F.split(text, "\n"), lambda x: F.translate(x, WHITE, "") != "")
+        count = lambda marks: F.regexp_count(text, F.lit(marks)).cast("long")
+        lines = F.filter(F.split(text, "\n"), lambda x: x.rlike(WORD))
         counted = _dealt(lines, lambda x: F.struct(F.size(x).cast("long").alias("n"), (F.size(x) - F.size(F.array_distinct(x))).cast("long").alias("dup")))
         return F.struct(
             F.size(w).cast("long").alias("n_words"),
-            F.length(bare).cast("long").alias("word_chars"),
-            (F.length(text) - F.length(F.translate(text, SYMBOLS, ""))).cast("long").alias("n_symbols"),
+            (F.length(text) - count(WHITE)).alias("word_chars"),
+            count(SYMBOLS).alias("n_symbols"),
             counted.alias("lines"),
             _repeat_words(w).alias("n_repeat_words"),
-            (F.length(text) - F.length(F.translate(text, "ABCDEFGHIJKLMNOPQRSTUVWXYZ", ""))).cast("long").alias("n_upper"),
+            count("[A-Z]").alias("n_upper"),
         )
 
-    return _dealt(F.filter(F.split(text, "[\\x20\\x09-\\x0D]+"), lambda x: x != ""), of)
+    return _dealt(F.filter(F.split(text, WHITE + "+"), lambda x: x != ""), of)
 
 
 def ledger(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
