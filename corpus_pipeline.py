@@ -38,9 +38,9 @@ def drop_repeated_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Da
 
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near copies."""
+    """One document of each group of near copies, by three fingerprints of the words that a text has."""
     with stage(spark):
-        return near_dedup.one_of_each(spark, docs)
+        return near_dedup.one_of_each(spark, docs, features=near_dedup.WORD_SETS)
 
 
 def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

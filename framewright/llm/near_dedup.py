@@ -11,6 +11,7 @@ by these coordinates; a pair found there is discarded by its largest difference
 from __future__ import annotations
 
 from collections.abc import Iterable, Iterator
+from dataclasses import dataclass
 from itertools import combinations
 
 import numpy as np
@@ -83,29 +84,55 @@ def buckets(x: np.ndarray, segments: list[int]) -> np.ndarray:
     return key
 
 
-def fingerprint(text: bytes) -> int:
-    """64 bits, each set if over half of the shingles' hashes set it."""
+@dataclass(frozen=True)
+class Features:
+    """What a text's fingerprints are made of: runs of so many words, each as often as it occurs or once, and how many fingerprints.
+
+    Further fingerprints are of the same runs under other hashes; texts are linked by any of them.
+    """
+
+    shingle: int = SHINGLE
+    once: bool = False
+    number: int = 1
+
+
+#: Finds near copies whose three-word runs differ in more than three bits: an edit changes one word, not three runs.
+WORD_SETS = Features(1, True, 3)
+_hashes: dict[bytes, int] = {}
+
+
+def fingerprints_of(text: bytes, features: Features = Features()) -> np.ndarray:  # noqa: B008
+    """64 bits each: set if over half of the features' hashes set it."""
     words = text.lower().split()  # ASCII only, as the input is bytes
     if not words:
-        return 0
-    if len(words) < SHINGLE:
-        grams = [b" ".join(words)]
+        return np.zeros(features.number, np.uint64)
+    k = min(features.shingle, len(words))
+    grams = words if k == 1 else map(b" ".join, zip(*(words[i:] for i in range(k)), strict=False))
+    if features.once:
+        if len(_hashes) > 300_000:
+            _hashes.clear()
+        grams = {*grams}
+        _hashes.update((g, xxhash.xxh64_intdigest(g, SEED)) for g in grams - _hashes.keys())
+        h = np.array([_hashes[g] for g in grams], "<u8")
     else:
-        grams = map(b" ".join, zip(words, words[1:], words[2:], strict=False))
-    h = np.array([xxhash.xxh64_intdigest(g, SEED) for g in grams], "<u8")
-    bits = np.unpackbits(h.view(np.uint8).reshape(-1, 8), axis=1, bitorder="little").sum(axis=0, dtype=np.int64)
-    return int(np.packbits(2 * bits > len(h), bitorder="little").view("<u8")[0])
+        h = np.array([xxhash.xxh64_intdigest(g, SEED) for g in grams], "<u8")
+    out = []
+    for i in range(features.number):
+        bits = np.unpackbits((mix(h ^ np.uint64(_mixed(i))) if i else h).view(np.uint8).reshape(-1, 8), axis=1, bitorder="little").sum(axis=0, dtype=np.int64)
+        out.append(np.packbits(2 * bits > len(h), bitorder="little").view("<u8")[0])
+    return np.array(out, np.uint64)
 
 
-def fingerprints(docs: DataFrame, text: str, keep: list[str]) -> DataFrame:
-    """The columns to keep, of longs, and fp: a row per row of docs; the bits as a signed long. A null text has no words, and fingerprint zero."""
+def fingerprints(docs: DataFrame, text: str, keep: list[str], features: Features = Features()) -> DataFrame:  # noqa: B008
+    """The columns to keep, of longs, and fp0, fp1 ...: a row per row of docs; the bits as signed longs. A null text has no words, and fingerprints zero."""
+    names = [f"fp{i}" for i in range(features.number)]
 
     def sign(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches, "text"):
-            fp = np.array([fingerprint(t) for t in texts_of(batch, "text")], np.uint64).view(np.int64)
-            yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in keep), pa.array(fp)], [*keep, "fp"])
+            fp = np.array([fingerprints_of(t, features) for t in texts_of(batch, "text")], np.uint64).reshape(-1, features.number).view(np.int64)
+            yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in keep), *(pa.array(x) for x in fp.T.copy())], [*keep, *names])
 
-    return docs.select(*keep, F.col(text).alias("text")).mapInArrow(sign, ", ".join(f"{c} long" for c in [*keep, "fp"]))
+    return docs.select(*keep, F.col(text).alias("text")).mapInArrow(sign, ", ".join(f"{c} long" for c in [*keep, *names]))
 
 
 def pivot_table(x: np.ndarray) -> np.ndarray:
@@ -178,7 +205,7 @@ def _bucket_links(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]
         yield links(*held)
 
 
-def links(scratch: Scratch, distinct: DataFrame) -> DataFrame:
+def links(scratch: Scratch, distinct: DataFrame, name: str = "") -> DataFrame:
     """(u, v): links that join all fingerprints within the distance, at most one for each of them, table and bucket."""
     n = partitions(distinct.sparkSession)
 
@@ -195,16 +222,16 @@ def links(scratch: Scratch, distinct: DataFrame) -> DataFrame:
     def compared(df: DataFrame) -> DataFrame:
         return df.select("t", "key", "fp").repartition(n, "t", "key").sortWithinPartitions("t", "key", "fp").mapInArrow(_bucket_links, "u long, v long")
 
-    first, sizes = bucketed(distinct, {t: [WORD[i] for i in table] for t, table in enumerate(TABLES)}, "buckets")
+    first, sizes = bucketed(distinct, {t: [WORD[i] for i in table] for t, table in enumerate(TABLES)}, f"buckets{name}")
     out = compared(first.join(sizes.filter(F.col("n") <= LARGE), ["t", "key"]))
     large = sizes.filter(F.col("n") > LARGE)
     for t, table in enumerate(TABLES) if not large.isEmpty() else []:
-        again = scratch.table(first.filter(F.col("t") == t).join(large, ["t", "key"]).select("fp"), f"hot-{t}")
+        again = scratch.table(first.filter(F.col("t") == t).join(large, ["t", "key"]).select("fp"), f"hot{name}-{t}")
         own = [WORD[i] for i in table]
-        deep, deep_sizes = bucketed(again, {1000 * (t + 1) + k: own + more for k, more in enumerate(finer(t))}, f"deep-{t}")
+        deep, deep_sizes = bucketed(again, {1000 * (t + 1) + k: own + more for k, more in enumerate(finer(t))}, f"deep{name}-{t}")
         # equal in 44 bits, a bucket has 2**20 fingerprints at most, of 8 bytes
         out = out.unionByName(compared(deep.join(deep_sizes, ["t", "key"])))
-    return scratch.table(out.distinct(), "links")
+    return scratch.table(out.distinct(), f"links{name}")
 
 
 def components(scratch: Scratch, edges: DataFrame, most_rounds: int = 60) -> DataFrame:
@@ -238,7 +265,7 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, doc_id: str = "doc_id"
     repeated in the result. No rows, no result rows.
     """
     scratch = Scratch(spark, "near_dedup")
-    signed = scratch.table(fingerprints(docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).alias("text")), "text", ["doc_id"]), "fingerprints")
+    signed = scratch.table(fingerprints(docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).alias("text")), "text", ["doc_id"]).withColumnRenamed("fp0", "fp"), "fingerprints")
     nodes = scratch.table(signed.groupBy("fp").agg(F.min("doc_id").alias("first")), "nodes")
     roots = components(scratch, links(scratch, nodes.select("fp")))
     rooted = nodes.join(roots.withColumnRenamed("u", "fp"), "fp", "left").select("fp", "first", F.coalesce("root", "fp").alias("root"))
@@ -247,7 +274,25 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, doc_id: str = "doc_id"
     return signed.join(classes, "fp").select("doc_id", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id")
 
 
-def one_of_each(spark: SparkSession, docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
+def joint_links(scratch: Scratch, signed: DataFrame, number: int) -> DataFrame:
+    """(u, v): links of all fingerprints of each kind, and of each text's further fingerprints to its first.
+
+    A further fingerprint joins texts only if it is linked, or if texts of several first ones have it; others are
+    left out. A fingerprint is the same node for all kinds: that two kinds have an equal one by chance is as likely as
+    that two hashes of 64 bits are equal.
+    """
+    out = links(scratch, signed.select(F.col("fp0").alias("fp")).distinct())
+    for i in range(1, number):
+        own = scratch.table(signed.select("fp0", F.col(f"fp{i}").alias("fp")).distinct(), f"pairs{i}")
+        found = links(scratch, own.select("fp").distinct(), str(i))
+        shared = own.groupBy("fp").agg(F.count("*").alias("n")).filter("n > 1").select("fp")
+        useful = found.select(F.col("u").alias("fp")).unionByName(found.select(F.col("v").alias("fp"))).unionByName(shared).distinct()
+        cross = own.join(useful, "fp").filter("fp0 <> fp").select(F.col("fp0").alias("u"), F.col("fp").alias("v"))
+        out = out.unionByName(found).unionByName(cross)
+    return out
+
+
+def one_of_each(spark: SparkSession, docs: DataFrame, doc_id: str = "doc_id", text: str = "text", features: Features = Features()) -> DataFrame:  # noqa: B008
     """The rows of docs that are the first of their component, by doc_id and a hash of the text; all columns as they are.
 
     Rows are told apart by id and text, so rows of one id with texts that aren't alike stay; rows equal in both are
@@ -258,9 +303,9 @@ def one_of_each(spark: SparkSession, docs: DataFrame, doc_id: str = "doc_id", te
     i, t = names[docs.columns.index(doc_id)], names[docs.columns.index(text)]
     key = [F.coalesce(F.col(i).cast("long"), F.lit((1 << 63) - 1)).alias("id"), F.xxhash64(t).alias("th")]
     keyed = docs.toDF(*names).select(*names, *key)
-    signed = scratch.table(fingerprints(keyed, t, ["id", "th"]).distinct(), "fingerprints")
-    roots = components(scratch, links(scratch, signed.select("fp").distinct()))
-    rooted = signed.join(roots.withColumnRenamed("u", "fp"), "fp", "left").select("id", "th", F.coalesce("root", "fp").alias("root"))
+    signed = scratch.table(fingerprints(keyed, t, ["id", "th"], features).distinct(), "fingerprints")
+    roots = components(scratch, joint_links(scratch, signed, features.number))
+    rooted = signed.join(roots.withColumnRenamed("u", "fp0"), "fp0", "left").select("id", "th", F.coalesce("root", "fp0").alias("root"))
     first = scratch.table(rooted.groupBy("root").agg(F.min(F.struct("id", "th")).alias("f")).select("f.id", "f.th"), "first")
     kept = keyed.join(first.hint("merge"), ["id", "th"], "left_semi")
     return kept.dropDuplicates(["id", "th"]).select(names).toDF(*docs.columns)

@@ -270,6 +270,37 @@ def test_near_duplicates(spark, docs, texts):
         assert (r.fingerprint, r.component_id) == (f"{prints[i]:016x}", roots[i])
 
 
+def test_near_copies_by_word_sets(spark):
+    rng = random.Random(8)
+    words = [f"w{i}" for i in range(3000)]
+    pairs, copies = [], 0
+    for i in range(0, 400, 4):
+        base = [rng.choice(words) for _ in range(rng.randint(150, 400))]
+        pairs.append((i, " ".join(base)))
+        for j in (1, 2):
+            new = base.copy()
+            for _ in range(len(base) // 60):  # about 0.85 of the five-word runs stay
+                new[rng.randrange(len(new))] = rng.choice(words)
+            pairs.append((i + j, " ".join(new)))
+            copies += 1
+        pairs.append((i + 3, " ".join(rng.choice(words) for _ in range(200))))
+    docs = spark.createDataFrame(pairs, "doc_id long, text string")
+    left = {f: {r.doc_id for r in near_dedup.one_of_each(spark, docs, features=f).collect()} for f in (near_dedup.Features(), near_dedup.WORD_SETS)}
+    for kept in left.values():
+        assert {i for i, _ in pairs if i % 4 in (0, 3)} <= kept
+    caught = {f: sum(i not in kept for i, _ in pairs if i % 4 in (1, 2)) / copies for f, kept in left.items()}
+    assert caught[near_dedup.WORD_SETS] >= 0.9 > caught[near_dedup.Features()]
+    # the same components by brute force over all fingerprints
+    prints = {i: near_dedup.fingerprints_of(t.encode(), near_dedup.WORD_SETS) for i, t in pairs}
+    roots = {i: i for i in prints}
+    for _ in range(5):
+        for a in prints:
+            for b in prints:
+                if np.bitwise_count(prints[a] ^ prints[b]).min() <= 3:
+                    roots[a] = roots[b] = min(roots[a], roots[b])
+    assert left[near_dedup.WORD_SETS] == {*roots.values()}
+
+
 def test_near_duplicates_edges(spark, edge, none):
     rows = near_dedup.near_duplicates(spark, edge).collect()
     assert len(rows) == len(EDGE)
@@ -712,7 +743,10 @@ def test_pipeline(spark, tmp_path):
             assert docs.select("doc_id").distinct().count() == docs.count()
             assert docs.join(before, "doc_id", "left_anti").count() == 0
         if name == "near_dedup":
-            assert near_dedup.near_duplicates(spark, docs).filter("doc_id <> component_id").count() == 0
+            again = near_dedup.one_of_each(spark, docs, features=near_dedup.WORD_SETS)
+            assert again.count() == docs.count()
+            roots = link_all({r.doc_id: slow_print(r.text) for r in before.collect()})
+            assert {*roots.values()} >= {r.doc_id for r in docs.collect()}
         if name == "decontamination":
             left = decontaminate.find_passages(spark, docs, spark.read.parquet(f"{FOLDER}/benchmark.parquet"))
             assert left.filter("contaminated").count() == 0
@@ -722,3 +756,46 @@ def test_pipeline(spark, tmp_path):
     check_packing(docs.collect(), 1024)
     whole = corpus_pipeline.run(spark, FOLDER).select("doc_id", "piece", "length", "ids_crc32")
     assert whole.exceptAll(docs.select("doc_id", "piece", "length", "ids_crc32")).count() == 0
+
+
+def slow_contaminated(text, items):
+    words = lambda t: re.findall(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+", "".join(c.lower() if "A" <= c <= "Z" else c for c in t or ""))
+    own, hit = words(text), set()
+    for item in items:
+        w = words(item)
+        k = min(13, len(w))
+        windows = {tuple(w[i : i + k]) for i in range(len(w) - k + 1)} if w else set()
+        for i in range(len(own) - k + 1 if w else 0):
+            if tuple(own[i : i + k]) in windows:
+                hit |= {*range(i, i + k)}
+    return bool(hit) and 20 * len(hit) >= len(own)
+
+
+def test_pipeline_equals_brute_force(spark, docs, texts, plain):
+    import corpus_pipeline
+
+    g = toxicity.fit(docs, spark.read.parquet(f"{FOLDER}/labels.parquet"))
+    left = {i: t for i, t in texts.items() if 1 / (1 + np.exp(-g.bias - g.slope * np.log1p(slow_weight(g, t)))) < 0.7}
+    lines = slow_lines(left.items(), 1)
+    left = {i: lines[i, t] for i, t in left.items()}
+    prints = {i: near_dedup.fingerprints_of(t.encode(), near_dedup.WORD_SETS) for i, t in left.items()}
+    roots = {i: i for i in prints}
+    for _ in range(5):
+        for a in prints:
+            for b in prints:
+                if np.bitwise_count(prints[a] ^ prints[b]).min() <= 3:
+                    roots[a] = roots[b] = min(roots[a], roots[b])
+    left = {i: left[i] for i in {*roots.values()}}
+    items = pd.read_parquet(f"{FOLDER}/benchmark.parquet").text.tolist()
+    left = {i: t for i, t in left.items() if not slow_contaminated(t, items)}
+    want = set()
+    for i, t in left.items():
+        ids, at = [*plain(t), 2], 0
+        while at < len(ids):
+            size = 1024 if at else (len(ids) - 1) % 1024 + 1
+            want.add((i, at, size, zlib.crc32(np.array(ids[at : at + size], "<u4").tobytes())))
+            at += size
+    rows = corpus_pipeline.run(spark, FOLDER).collect()
+    assert {(r.doc_id, r.start, r.length, r.ids_crc32) for r in rows} == want
+    assert len(rows) == len(want)
+    check_packing(rows, 1024)
