@@ -112,7 +112,8 @@ def fingerprints_of(text: bytes, features: Features = Features()) -> np.ndarray:
         if len(_hashes) > 300_000:
             _hashes.clear()
         grams = {*grams}
-        _hashes.update((g, xxhash.xxh64_intdigest(g, SEED)) for g in grams - _hashes.keys())
+        for g in [g for g in grams if g not in _hashes]:
+            _hashes[g] = xxhash.xxh64_intdigest(g, SEED)
         h = np.array([_hashes[g] for g in grams], "<u8")
     else:
         h = np.array([xxhash.xxh64_intdigest(g, SEED) for g in grams], "<u8")
@@ -205,33 +206,33 @@ def _bucket_links(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]
         yield links(*held)
 
 
-def links(scratch: Scratch, distinct: DataFrame, name: str = "") -> DataFrame:
-    """(u, v): links that join all fingerprints within the distance, at most one for each of them, table and bucket."""
+def links(scratch: Scratch, distinct: DataFrame) -> DataFrame:
+    """(u, v): links that join all fingerprints (kind, fp) of one kind within the distance, at most one for each of them, table and bucket."""
     n = partitions(distinct.sparkSession)
 
     def bucketed(df: DataFrame, tables: dict[int, list[int]], name: str) -> tuple[DataFrame, DataFrame]:
         def look_up(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             for batch in batches:
-                x = batch.column("fp").to_numpy().view(np.uint64)
+                x, kind = batch.column("fp").to_numpy().view(np.uint64), batch.column("kind").to_numpy()
                 for t, segments in tables.items():
-                    yield pa.RecordBatch.from_arrays([batch.column("fp"), pa.array(np.full(len(x), t)), pa.array(buckets(x, segments).view(np.int64))], ["fp", "t", "key"])
+                    yield pa.RecordBatch.from_arrays([batch.column("kind"), batch.column("fp"), pa.array(np.full(len(x), t)), pa.array(mix(buckets(x, segments) ^ kind.view(np.uint64)).view(np.int64))], ["kind", "fp", "t", "key"])
 
-        each = df.select("fp").mapInArrow(look_up, "fp long, t long, key long")
+        each = df.select("kind", "fp").mapInArrow(look_up, "kind long, fp long, t long, key long")
         return each, scratch.table(each.groupBy("t", "key").agg(F.count("*").alias("n")).filter("n > 1"), name)
 
     def compared(df: DataFrame) -> DataFrame:
         return df.select("t", "key", "fp").repartition(n, "t", "key").sortWithinPartitions("t", "key", "fp").mapInArrow(_bucket_links, "u long, v long")
 
-    first, sizes = bucketed(distinct, {t: [WORD[i] for i in table] for t, table in enumerate(TABLES)}, f"buckets{name}")
+    first, sizes = bucketed(distinct, {t: [WORD[i] for i in table] for t, table in enumerate(TABLES)}, "buckets")
     out = compared(first.join(sizes.filter(F.col("n") <= LARGE), ["t", "key"]))
     large = sizes.filter(F.col("n") > LARGE)
     for t, table in enumerate(TABLES) if not large.isEmpty() else []:
-        again = scratch.table(first.filter(F.col("t") == t).join(large, ["t", "key"]).select("fp"), f"hot{name}-{t}")
+        again = scratch.table(first.filter(F.col("t") == t).join(large, ["t", "key"]).select("kind", "fp"), f"hot-{t}")
         own = [WORD[i] for i in table]
-        deep, deep_sizes = bucketed(again, {1000 * (t + 1) + k: own + more for k, more in enumerate(finer(t))}, f"deep{name}-{t}")
+        deep, deep_sizes = bucketed(again, {1000 * (t + 1) + k: own + more for k, more in enumerate(finer(t))}, f"deep-{t}")
         # equal in 44 bits, a bucket has 2**20 fingerprints at most, of 8 bytes
         out = out.unionByName(compared(deep.join(deep_sizes, ["t", "key"])))
-    return scratch.table(out.distinct(), f"links{name}")
+    return scratch.table(out.distinct(), "links")
 
 
 def components(scratch: Scratch, edges: DataFrame, most_rounds: int = 60) -> DataFrame:
@@ -267,7 +268,7 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, doc_id: str = "doc_id"
     scratch = Scratch(spark, "near_dedup")
     signed = scratch.table(fingerprints(docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).alias("text")), "text", ["doc_id"]).withColumnRenamed("fp0", "fp"), "fingerprints")
     nodes = scratch.table(signed.groupBy("fp").agg(F.min("doc_id").alias("first")), "nodes")
-    roots = components(scratch, links(scratch, nodes.select("fp")))
+    roots = components(scratch, links(scratch, nodes.select(F.lit(0).cast("long").alias("kind"), "fp")))
     rooted = nodes.join(roots.withColumnRenamed("u", "fp"), "fp", "left").select("fp", "first", F.coalesce("root", "fp").alias("root"))
     named = rooted.groupBy("root").agg(F.min("first").alias("component_id"))
     classes = scratch.table(rooted.join(named, "root").select("fp", "component_id"), "classes")
@@ -281,15 +282,14 @@ def joint_links(scratch: Scratch, signed: DataFrame, number: int) -> DataFrame:
     left out. A fingerprint is the same node for all kinds: that two kinds have an equal one by chance is as likely as
     that two hashes of 64 bits are equal.
     """
-    out = links(scratch, signed.select(F.col("fp0").alias("fp")).distinct())
-    for i in range(1, number):
-        own = scratch.table(signed.select("fp0", F.col(f"fp{i}").alias("fp")).distinct(), f"pairs{i}")
-        found = links(scratch, own.select("fp").distinct(), str(i))
-        shared = own.groupBy("fp").agg(F.count("*").alias("n")).filter("n > 1").select("fp")
-        useful = found.select(F.col("u").alias("fp")).unionByName(found.select(F.col("v").alias("fp"))).unionByName(shared).distinct()
-        cross = own.join(useful, "fp").filter("fp0 <> fp").select(F.col("fp0").alias("u"), F.col("fp").alias("v"))
-        out = out.unionByName(found).unionByName(cross)
-    return out
+    kinds = F.posexplode(F.array(*(f"fp{i}" for i in range(number))))
+    own = scratch.table(signed.select("fp0", kinds.alias("kind", "fp")).select("fp0", F.col("kind").cast("long").alias("kind"), "fp").distinct(), "kinds")
+    found = links(scratch, own.select("kind", "fp").distinct())
+    if number == 1:
+        return found
+    shared = own.filter("kind > 0").groupBy("fp").agg(F.count("*").alias("n")).filter("n > 1").select("fp")
+    useful = found.select(F.explode(F.array("u", "v")).alias("fp")).unionByName(shared).distinct()
+    return found.unionByName(own.join(useful, "fp").filter("fp0 <> fp").select(F.col("fp0").alias("u"), F.col("fp").alias("v")))
 
 
 def one_of_each(spark: SparkSession, docs: DataFrame, doc_id: str = "doc_id", text: str = "text", features: Features = Features()) -> DataFrame:  # noqa: B008

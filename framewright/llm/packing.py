@@ -9,7 +9,7 @@ from __future__ import annotations
 
 import bisect
 import zlib
-from collections import Counter
+from collections import Counter, deque
 from collections.abc import Callable, Iterable, Iterator
 
 import numpy as np
@@ -34,18 +34,14 @@ Packing = list[tuple[Filling, int]]  # fillings and how many sequences have each
 def lower_bound(counts: dict[int, int], capacity: int) -> int:
     """Sequences that any packing needs: Martello and Toth's second bound, over every threshold."""
     n = np.zeros(capacity + 1, np.int64)
-    for length, count in counts.items():
-        n[length] = count
+    n[[*counts]] = [*counts.values()]
     size = np.arange(capacity + 1) * n
+    half, k = capacity // 2, np.arange(capacity // 2 + 1)
     numbers, sizes = np.concatenate([[0], np.cumsum(n)]), np.concatenate([[0], np.cumsum(size)])
-    between = lambda c, a, b: int(c[b + 1] - c[a]) if b >= a else 0
-    best, half = -(-int(size.sum()) // capacity), capacity // 2
-    for k in range(half + 1):
-        large, middle = between(numbers, capacity - k + 1, capacity), between(numbers, half + 1, capacity - k)
-        room = middle * capacity - between(sizes, half + 1, capacity - k)
-        rest = between(sizes, max(k, 1), half) - room
-        best = max(best, large + middle + max(0, -(-rest // capacity)))
-    return best
+    large, middle = numbers[-1] - numbers[capacity - k + 1], numbers[capacity - k + 1] - numbers[half + 1]
+    room = middle * capacity - (sizes[capacity - k + 1] - sizes[half + 1])
+    rest = sizes[half + 1] - sizes[np.maximum(k, 1)] - room
+    return max(-(-int(size.sum()) // capacity), int((large + middle + np.maximum(0, -(-rest // capacity))).max()))
 
 
 def best_fit(counts: dict[int, int], capacity: int) -> Packing:
@@ -105,19 +101,30 @@ class Fillings:
     bits of integers.
     """
 
+    latest: deque[Fillings] = deque()
+
     def __init__(self, stock: np.ndarray, room: int) -> None:
         self.room, self.count = room, stock[: room + 1].tolist()
         self.lengths = [x for x in range(1, room + 1) if self.count[x]]
-        self.whole = (1 << (room + 1)) - 1
-        #: Sums of the pieces up to the k-th length.
-        self.reach = [1]
-        for x in self.lengths:
-            bits, left, step = self.reach[-1], min(self.count[x], room // x), 1
-            while left:  # 1, 2, 4 ... more of this length, `left` in all
-                k = min(step, left)
-                bits |= bits << (k * x)
-                left, step = left - k, 2 * step
-            self.reach.append(bits & self.whole)
+        self._reach: list[int] = []
+
+    @property
+    def reach(self) -> list[int]:
+        """Sums of the pieces up to the k-th length. A search goes deep, so only the latest fillings keep theirs."""
+        if not self._reach:
+            whole = (1 << (self.room + 1)) - 1
+            self._reach = [1]
+            for x in self.lengths:
+                bits, left, step = self._reach[-1], min(self.count[x], self.room // x), 1
+                while left:  # 1, 2, 4 ... more of this length, `left` in all
+                    k = min(step, left)
+                    bits |= bits << (k * x)
+                    left, step = left - k, 2 * step
+                self._reach.append(bits & whole)
+            Fillings.latest.append(self)
+            if len(Fillings.latest) > 32:
+                Fillings.latest.popleft()._reach = []
+        return self._reach
 
     def with_waste(self, waste: int, fewest: int, most: int) -> Iterator[Filling]:
         """Those of `fewest` to `most` pieces that leave `waste` of the room, longer pieces first; what can't be undominated is given up at once."""
@@ -169,11 +176,15 @@ def _ways(left: np.ndarray, capacity: int, spare: Callable[[], int]) -> Iterator
     rest[largest] -= 1
     room = capacity - largest
     some = Fillings(rest, room)
-    wastes = range(min(room, spare()) + 1)  # more waste is never allowed later
-    order = sorted((waste + PRICE * n, waste, n, n) for n in range(FEW + 1) for waste in wastes) + [(0, waste, FEW + 1, room) for waste in wastes]
+
+    def order() -> Iterator[tuple[int, int, int]]:
+        """(waste, least and most pieces) of ways in the order in which they are tried."""
+        yield from ((cost - PRICE * n, n, n) for cost in range(min(room, spare()) + PRICE * FEW + 1) for n in range(FEW + 1))
+        yield from ((waste, FEW + 1, room) for waste in range(min(room, spare()) + 1))
+
     for whole in (True, False):
-        for _, waste, fewest, pieces in order:
-            if waste > spare():
+        for waste, fewest, pieces in order():
+            if not 0 <= waste <= min(room, spare()):
                 continue
             for way in some.with_waste(waste, fewest, pieces):
                 filling = (largest, *way)

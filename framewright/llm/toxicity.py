@@ -9,6 +9,7 @@ from __future__ import annotations
 
 import math
 import re
+from collections import Counter
 from collections.abc import Callable, Iterable, Iterator
 from dataclasses import dataclass, field
 
@@ -198,23 +199,30 @@ def fit(docs: DataFrame, labels: DataFrame, limit: int = MAX_LABELLED) -> Gramma
     bounded by it.
     """
     spark = docs.sparkSession
-    sample = Scratch(spark, "toxicity").table(labelled_sample(docs, labels, "toxic", limit), "sample")
-    sample = sample.repartition(max(1, spark.sparkContext.defaultParallelism))
+
+    def with_kin(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in slices(batches, "text"):
+            yield batch.append_column("kin", pa.array([_kin(_words(t.decode())) for t in texts_of(batch, "text")], pa.int64()))
+
+    sample = labelled_sample(docs, labels, "toxic", limit).mapInArrow(with_kin, "text string, y int, kin long")
+    # copies of a text come to one task, which counts them once
+    sample = Scratch(spark, "toxicity").table(sample, "sample").repartition(max(1, spark.sparkContext.defaultParallelism), "kin")
 
     def terms_of(y: int, wanted: dict[str, int] | None) -> DataFrame:
         """(term, n): how many differing documents of a label have a term, and how many there are, under an empty term."""
 
         def emit(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            seen, count = set(), Counter()
             for batch in slices(batches, "text"):
-                for t in texts_of(batch, "text"):
-                    words = _words(t.decode())
-                    kin = _kin(words)
-                    if kin % 8:
-                        terms = ["", *(x for x in _terms(words) if wanted is None or x in wanted)]
-                        yield pa.RecordBatch.from_pydict({"term": terms, "kin": pa.array([kin] * len(terms), pa.int64())})
+                for t, kin in zip(texts_of(batch, "text"), batch.column("kin").to_pylist(), strict=True):
+                    if kin % 8 and kin not in seen:
+                        seen.add(kin)
+                        count[""] += 1
+                        count.update(x for x in _terms(_words(t.decode())) if wanted is None or x in wanted)
+            yield pa.RecordBatch.from_pydict({"term": pa.array([*count], pa.string()), "n": pa.array([*count.values()], pa.int64())})
 
-        seen = sample.filter(F.col("y") == y).select("text").mapInArrow(emit, "term string, kin long").distinct()
-        return seen.groupBy("term").agg(F.count("*").alias("n"))
+        chosen = sample.filter(F.col("y") == y).select("text", "kin").mapInArrow(emit, "term string, n long")
+        return chosen.groupBy("term").agg(F.sum("n").alias("n"))
 
     support = {r["term"]: r["n"] for r in terms_of(1, None).filter((F.col("n") >= MIN_DOCUMENTS) | (F.col("term") == "")).collect()}
     n_toxic = support.pop("", 0)
@@ -229,8 +237,7 @@ def fit(docs: DataFrame, labels: DataFrame, limit: int = MAX_LABELLED) -> Gramma
 
     def weigh(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches, "text"):
-            new = [(t.decode(), y) for t, y in zip(texts_of(batch, "text"), batch.column("y").to_pylist(), strict=True)]
-            new = [(grammar.weight(t), y) for t, y in new if not _kin(_words(t)) % 8]
+            new = [(grammar.weight(t.decode()), y) for t, y, kin in zip(texts_of(batch, "text"), batch.column("y").to_pylist(), batch.column("kin").to_pylist(), strict=True) if not kin % 8]
             yield pa.RecordBatch.from_pydict({"x": pa.array([x for x, _ in new], pa.float64()), "y": pa.array([y for _, y in new], pa.int32())})
 
     points = sample.mapInArrow(weigh, "x double, y int").toPandas()

@@ -162,6 +162,18 @@ def test_packing(spark, docs, texts, plain, edge, none):
     assert packing.pack(spark, none).collect() == []
 
 
+def test_lower_bound():
+    rng = random.Random(7)
+    for _ in range(50):
+        lengths = [rng.randint(1, 20) for _ in range(rng.randint(0, 9))]
+        best = -(-sum(lengths) // 20)
+        for k in range(11):
+            large, middle = [x for x in lengths if x > 20 - k], [x for x in lengths if 10 < x <= 20 - k]
+            rest = sum(x for x in lengths if max(k, 1) <= x <= 10) - (20 * len(middle) - sum(middle))
+            best = max(best, len(large) + len(middle) + max(0, -(-rest // 20)))
+        assert packing.lower_bound({x: lengths.count(x) for x in lengths}, 20) == best
+
+
 def fewest(lengths, capacity):
     """Fewest bins by trying everything."""
     best = [len(lengths)]
@@ -325,7 +337,7 @@ def test_links_of_large_buckets(spark, monkeypatch):
     prints = {v: v for v in sorted(x)}
     df = spark.createDataFrame([(v,) for v in x], "fp long")
     scratch = Scratch(spark, "test")
-    got = {r.u: r.root for r in near_dedup.components(scratch, near_dedup.links(scratch, df)).collect()}
+    got = {r.u: r.root for r in near_dedup.components(scratch, near_dedup.links(scratch, df.withColumn("kind", F.lit(0).cast("long")))).collect()}
     assert {v: got.get(v, v) for v in prints} == link_all(prints)
 
 
