@@ -22,7 +22,7 @@ from .common import Scratch, slices, texts_of
 from .tokens import TOKENIZER, encoder
 
 #: Fillings that a search tries; about a thousand reach the bound where it can be reached.
-NODES = 3_000
+NODES = 2_000
 
 #: Ways of up to `FEW` pieces come first, by their waste and a price for each piece: short pieces are worth keeping.
 PRICE, FEW = 12, 4
