@@ -7,15 +7,36 @@ from pyspark.sql import functions as F
 
 
 def quantile_edges(df: DataFrame, columns: list[str], bins: int) -> DataFrame:
-    """(dim, edges): exact linear quantiles from 0 to 1 in `bins` steps, equal edges once. One pass over df."""
-    steps = F.array(*(F.lit(i / bins) for i in range(bins + 1)))
-    wide = df.agg(*(F.array_distinct(F.percentile(c, steps)).alias(c) for c in columns))
-    return wide.select(F.explode(F.array(*(F.struct(F.lit(i).alias("dim"), F.col(c).alias("edges")) for i, c in enumerate(columns)))).alias("r")).select("r.*")
-
-
-def assign_bin(x: Column, edges: Column) -> Column:
-    """Left-closed bin; below the first edge is bin 0, from the last edge on the last bin; null where x is no number."""
-    place = F.least(F.greatest(F.size(F.filter(edges, lambda e: e <= x)) - 1, F.lit(0)), F.size(edges) - 2)
+    """(dim, edges): exact linear quantiles from 0 to 1 in `bins` steps, equal edges once; nulls don't count.
+
+    Values are counted, their counts sorted by range over all tasks and added up, and the values at the ranks of the
+    steps picked, two for each: no task has all distinct values.
+    """
+    from ..operators.sequences import global_order
+
+    out = None
+    for dim, c in enumerate(columns):
+        counted = df.filter(F.col(c).isNotNull()).groupBy(F.col(c).cast("double").alias("x")).agg(F.count("*").alias("n"))
+        placed = global_order(counted, ["x"], "before", "n")
+        total = placed.agg(F.max(F.col("before") + F.col("n")).alias("total"))  # one row
+        at = lambda i: (F.col("total") - 1) * i / bins  # noqa: E731, B023
+        steps = F.array(*(F.struct(F.lit(i).alias("step"), F.floor(at(i)).alias("low"), F.ceil(at(i)).alias("high"), (at(i) - F.floor(at(i))).alias("part")) for i in range(bins + 1)))
+        has = lambda rank: (rank >= F.col("before")) & (rank < F.col("before") + F.col("n"))
+        picked = placed.crossJoin(F.broadcast(total)).select("x", "before", "n", F.explode(F.filter(steps, lambda s: has(s["low"]) | has(s["high"]))).alias("s"))
+        low, high = (F.max(F.when(has(F.col(f"s.{side}")), F.col("x"))) for side in ("low", "high"))
+        edges = picked.groupBy("s.step").agg((low + (high - low) * F.max("s.part")).alias("edge"))
+        one = edges.agg(F.array_sort(F.collect_set("edge")).alias("edges")).select(F.lit(dim).alias("dim"), "edges")  # `bins` numbers
+        out = one if out is None else out.unionByName(one)
+    return out
+
+
+def assign_bin(x: Column, edges: Column, most: int = 256) -> Column:
+    """Left-closed bin; below the first edge is bin 0, from the last edge on the last bin; null where x is no number.
+
+    `most` bounds the number of edges, each of which is one comparison.
+    """
+    reached = sum((F.coalesce(F.get(edges, F.lit(i)) <= x, F.lit(False)).cast("int") for i in range(most)), F.lit(0))
+    place = F.least(F.greatest(reached - 1, F.lit(0)), F.size(edges) - 2)
     return F.when(x.isNotNull() & ~F.isnan(x.cast("double")), place)
 
 

@@ -117,11 +117,13 @@ def kruskal(df: DataFrame, keys: list[str], group: str, value: str) -> DataFrame
     ties = cells.groupBy(*keys, value).agg(F.sum("n").alias("t"))
     w = Window.partitionBy(*keys).orderBy(value).rowsBetween(Window.unboundedPreceding, -1)
     ranked = ties.withColumn("rank", F.coalesce(F.sum("t").over(w), F.lit(0)) + (F.col("t") + 1) / 2)
-    sums = cells.join(ranked, [*keys, value]).groupBy(*keys, group).agg(F.sum(F.col("n") * F.col("rank")).alias("r"), F.sum("n").alias("n"))
-    h = sums.groupBy(*keys).agg(F.sum(F.col("r") * F.col("r") / F.col("n")).alias("s"), F.sum("n").alias("n"), F.count("*").alias("groups"))
-    tied = ties.groupBy(*keys).agg(F.sum(F.col("t") * F.col("t") * F.col("t") - F.col("t")).cast("double").alias("c"))
+    sums = cells.join(ranked, [*keys, value]).groupBy(*keys, group).agg(F.sum(F.col("n") * F.col("rank").cast("double")).alias("r"), F.sum("n").alias("n"))
+    totals = sums.groupBy(*keys).agg(F.sum("n").cast("double").alias("all"))
+    off = F.col("r") / F.col("n") - (F.col("all") + 1) / 2  # mean ranks from their mean: squares of ranks would cancel out
+    h = sums.join(totals, keys).groupBy(*keys).agg(F.sum(F.col("n") * off * off).alias("s"), F.sum("n").alias("n"), F.count("*").alias("groups"))
+    tied = ties.groupBy(*keys).agg(F.sum(F.pow(F.col("t").cast("double"), 3) - F.col("t")).alias("c"))
     n = F.col("n").cast("double")
-    plain = F.lit(12.0) / (n * (n + 1)) * F.col("s") - 3 * (n + 1)
+    plain = F.lit(12.0) / (n * (n + 1)) * F.col("s")
     fixed = h.join(tied, keys).withColumn("_d", 1 - F.col("c") / (n * n * n - n)).withColumn("h", F.when(F.col("_d") > 0, plain / F.col("_d")).otherwise(0.0))
 
     @F.pandas_udf("double")

@@ -49,3 +49,16 @@ def first_rows(df: DataFrame, keys: list[str], order: Column | str) -> DataFrame
     """The first row of each file or episode, as an aggregate rather than a sort."""
     rest = [c for c in df.columns if c not in keys]
     return df.groupBy(*keys).agg(F.min_by(F.struct(*rest), order).alias("_r")).select(*keys, "_r.*")
+
+
+def cardinality(rows: DataFrame, episode: str, expected: DataFrame) -> DataFrame:
+    """n_rows, n_episodes, expected_rows, expected_episodes, passes: whether both totals are the expected ones, of a table of one row."""
+    found = rows.agg(F.count("*").alias("n_rows"), F.count_distinct(episode).alias("n_episodes"))
+    both = found.crossJoin(expected.select("expected_rows", "expected_episodes"))  # one row each
+    return both.withColumn("passes", (F.col("n_rows") == F.col("expected_rows")) & (F.col("n_episodes") == F.col("expected_episodes")))
+
+
+def require(gate: DataFrame) -> DataFrame:
+    """The gate's row; an error that names the totals, when it is read, if it doesn't pass."""
+    text = F.concat(F.lit("expected "), F.to_json(F.struct(*gate.columns)))
+    return gate.withColumn("passes", F.when(F.col("passes"), True).otherwise(F.raise_error(text).cast("boolean")))

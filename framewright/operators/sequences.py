@@ -11,6 +11,8 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..sources.sinks import scratch
+
 #: Fixed values of the sequence format.
 BOS, EOS, END_OF_FRAME, END_OF_VISION = 1, 2, 8192, 8193
 TOKEN = "struct<token: int, loss: float, vision: boolean, delta: boolean, action: boolean>"
@@ -116,8 +118,8 @@ def global_order(df: DataFrame, by: list[str], name: str, size: str | None = Non
     """Adds a running position over all rows in an order: of rows, or of the sizes in a column.
 
     Rows are sorted by range over all tasks, each counts its own, and only the totals of the ranges, one number
-    each, are added up in one place. The ranges are written out between the two passes of the counting, or sampled
-    again from the same input, so the order must be total.
+    each, are added up in one place. What the tasks counted is written to the shared folder, so a lost executor
+    can't have it sampled again. The order must be total.
     """
     spark = df.sparkSession
     n = int(spark.conf.get("spark.sql.shuffle.partitions"))
@@ -134,7 +136,9 @@ def global_order(df: DataFrame, by: list[str], name: str, size: str | None = Non
             total += int(sizes.sum())
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(within.astype(np.int64)), pa.array(np.full(len(sizes), part, np.int32))], [*batch.schema.names, "_within", "_part"])
 
-    local = ranged.mapInArrow(count, f"{types}, _within long, _part int").persist()
+    counted = ranged.mapInArrow(count, f"{types}, _within long, _part int")
+    counted.write.parquet(path := scratch(spark, "order"))
+    local = spark.read.schema(counted.schema).parquet(path)
     totals = local.groupBy("_part").agg(F.max(F.col("_within") + (F.col(size) if size else 1)).alias("_n"))
     offsets = totals.select("_part", F.coalesce(F.sum("_n").over(Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("_offset"))
     # one row for each range

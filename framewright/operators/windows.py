@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -118,29 +119,30 @@ def rank_ranges(n: Column, ranks: int, rank: Column) -> tuple[Column, Column]:
     return F.floor(n * rank / ranks), F.floor(n * (rank + 1) / ranks)
 
 
-def sticky(values: list[float], trigger: float = 0.5, hold: int = 15) -> list[float]:
-    """A relative action is taken up when it passes the trigger and repeated for `hold` steps, then released."""
-    out, on, count, kept = [], False, 0, 0.0
-    for v in values:
-        if abs(v) > trigger and not on:
-            on, kept = True, v
-        if on:
-            count += 1
-            v = kept
-            if count == hold:
-                on, count, kept = False, 0, 0.0
-        out.append(v)
-    return out
+def held_moves(moves: np.ndarray, trigger: float, hold: int, left: int = 0, kept: float = 0.0) -> tuple[np.ndarray, int, float]:
+    """Moves with spans of `hold` steps filled by the move over the trigger that begins each; then what a later part needs.
+
+    A span begins at the first move over the trigger after the span before. `left` and `kept` are the steps and the
+    move of a span that goes on from an earlier part of the same episode.
+    """
+    out, starts, at = moves.astype(float), np.flatnonzero(np.abs(moves) > trigger), min(left, len(moves))
+    out[:at] = kept
+    left -= at
+    while (k := np.searchsorted(starts, at)) < len(starts):
+        begin, kept = int(starts[k]), float(moves[starts[k]])
+        out[begin : begin + hold] = kept
+        left, at = max(0, begin + hold - len(moves)), min(begin + hold, len(moves))
+    return out, left, kept
 
 
 def sticky_action(df: DataFrame, keys: list[str], order: str, value: str, trigger: float = 0.5, hold: int = 15) -> DataFrame:
-    """(keys, order, value, sticky): the state machine over each episode's steps in order."""
+    """(keys, order, value, sticky): a relative action over the trigger is repeated for `hold` steps. An episode is one task's rows."""
     types = dict(df.dtypes)
     chosen = df.select(*keys, order, value)
 
     def run(pdf: pd.DataFrame) -> pd.DataFrame:
         pdf = pdf.sort_values(order)
-        return pdf.assign(sticky=sticky(pdf[value].tolist(), trigger, hold))
+        return pdf.assign(sticky=held_moves(pdf[value].to_numpy(float), trigger, hold)[0])
 
     schema = ", ".join(f"{c} {types[c]}" for c in (*keys, order, value)) + ", sticky double"
     return chosen.groupBy(*keys).applyInPandas(run, schema)

@@ -162,10 +162,9 @@ def a20(t: Tables) -> DataFrame:
     return p.groupBy("position").agg(F.round(V.perplexity(F.col("p")), 6).alias("perplexity"))
 
 
-@query("a21_dead_codes", f"WITH {DELTA} SELECT c::INT AS code, (SELECT count(*) FROM e WHERE code = c AND position = 0) < 5 AS is_dead FROM unnest(generate_series(0, 9)) AS s(c)")
+@query("a21_dead_codes", f"WITH {DELTA} SELECT c::INT AS code, (SELECT count(*) FROM e WHERE code = c) < 5 AS is_dead FROM unnest(generate_series(0, 9)) AS s(c)")
 def a21(t: Tables) -> DataFrame:
-    first = deltas(t).select(F.slice("delta", 1, 1).alias("delta"))
-    return A.code_histogram(first, "delta", 10).select("code", (F.col("n") < 5).alias("is_dead"))
+    return A.code_histogram(deltas(t), "delta", 10).select("code", (F.col("n") < 5).alias("is_dead"))
 
 
 @query("a22_unique_per_batch", f"WITH {DELTA} SELECT event_id // 64 AS batch, count(DISTINCT code) AS n_codes FROM e GROUP BY 1")

@@ -37,12 +37,17 @@ def v2(t: Tables) -> DataFrame:
     return V.nearest_code(change, book(t), "change", "code", "entry").select("vec_id", "nearest")
 
 
-@query("v1_label_pairs", "WITH p AS (SELECT user_id AS episode, event_id, coalesce(lead(event_id, 30) OVER (PARTITION BY user_id ORDER BY ts, event_id), last_value(event_id) OVER (PARTITION BY user_id ORDER BY ts, event_id ROWS BETWEEN UNBOUNDED PRECEDING AND UNBOUNDED FOLLOWING)) AS future FROM events) SELECT event_id, future, (abs(future - event_id) % 8)::INT AS code FROM p")
+PAIRS = "c AS (SELECT vec_id AS code, embedding::DOUBLE[] AS entry FROM embeddings WHERE vec_id < 8), p AS (SELECT vec_id, embedding::DOUBLE[] AS a, coalesce(lead(embedding::DOUBLE[]) OVER w, embedding::DOUBLE[]) AS b FROM embeddings WINDOW w AS (PARTITION BY label ORDER BY vec_id))"
+
+
+@query("v1_label_pairs", f"WITH {PAIRS}, q AS (SELECT vec_id, part, code, list_sum([((b[i] - a[i]) - entry[i]) * ((b[i] - a[i]) - entry[i]) FOR i IN generate_series(16 * part + 1, 16 * part + 16)]) AS d FROM p, c, generate_series(0, 3) AS s(part)), n AS (SELECT vec_id, part, arg_min(code, (d, code)) AS code FROM q GROUP BY vec_id, part) SELECT vec_id, string_agg(code::VARCHAR, ',' ORDER BY part) AS codes FROM n GROUP BY vec_id")
 def v1(t: Tables) -> DataFrame:
-    w = Window.partitionBy("episode").orderBy("frame")
-    last = F.last("event_id").over(w.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing))
-    pairs = t.frames.select("event_id", F.coalesce(F.lead("event_id", 30).over(w), last).alias("future"))
-    return V.score_batches(pairs, lambda p: (p["future"] - p["event_id"]).abs() % 8, "code int")
+    """Four codes for each pair of a frame and the next of its group (its own at the end), by a broadcast model."""
+    v = F.col("embedding").cast("array<double>")
+    after = F.lead(v).over(Window.partitionBy("label").orderBy("vec_id"))
+    pairs = t.embeddings.select("vec_id", v.alias("old"), F.coalesce(after, v).alias("new"))
+    model = V.PairLabeler.of(book(t), "code", "entry", parts=4)
+    return V.score_model(pairs, model, "codes array<long>").select("vec_id", F.array_join(F.col("codes").cast("array<string>"), ",").alias("codes"))
 
 
 @query("v6_code_lookup", f"WITH {CODES} SELECT vec_id, nearest AS code, round(entry[1], 6) AS first FROM best JOIN c ON nearest = code")
@@ -58,6 +63,12 @@ def v4(t: Tables) -> DataFrame:
     return book(t).select("code").join(used, "code", "left").select("code", n.alias("n"), (n < 20).alias("replace"))
 
 
+@query("v4_dead_code_replacement", f"WITH {CODES}, u AS (SELECT nearest, count(*) AS n FROM best GROUP BY nearest), k AS (SELECT code, coalesce(n, 0) AS n, coalesce(n, 0) < 200 AS dead FROM c LEFT JOIN u ON code = nearest), live AS (SELECT code, row_number() OVER (ORDER BY n DESC, code) - 1 AS r, count(*) OVER () AS m FROM k WHERE NOT dead), gone AS (SELECT code, row_number() OVER (ORDER BY code) - 1 AS r FROM k WHERE dead) SELECT k.code, coalesce(live.code, k.code) AS source FROM k LEFT JOIN gone USING (code) LEFT JOIN live ON gone.r % live.m = live.r")
+def v4r(t: Tables) -> DataFrame:
+    used = nearest(t).groupBy(F.col("nearest").alias("code")).agg(F.count("*").alias("n"))
+    return V.replace_dead(book(t), used, "code", "entry", 200).select("code", "source")
+
+
 EDGES = "q AS (SELECT list_distinct(quantile_cont(l_extendedprice, [i / 16.0::DOUBLE FOR i IN generate_series(0, 16)])) AS p, list_distinct(quantile_cont(l_quantity, [i / 16.0::DOUBLE FOR i IN generate_series(0, 16)])) AS n FROM lineitem), e AS (SELECT 0 AS dim, list_sort(p) AS edges FROM q UNION ALL SELECT 1, list_sort(n) FROM q)"
 
 
@@ -72,13 +83,13 @@ def a19(t: Tables) -> DataFrame:
 
 @query("f14_assign_bin", f"WITH {EDGES} SELECT l_orderkey, l_linenumber, least(greatest(len([x FOR x IN edges IF x <= l_quantity]) - 1, 0), len(edges) - 2)::INT AS bin FROM lineitem, e WHERE dim = 1")
 def f14(t: Tables) -> DataFrame:
-    one = edges(t).filter("dim = 1").select("edges")  # one row
-    return t.lineitem.crossJoin(F.broadcast(one)).select("l_orderkey", "l_linenumber", numeric.assign_bin(F.col("l_quantity"), F.col("edges")).alias("bin"))
+    one = numeric.quantile_edges(t.lineitem, ["l_quantity"], 16).select("edges")  # one row
+    return t.lineitem.crossJoin(F.broadcast(one)).select("l_orderkey", "l_linenumber", numeric.assign_bin(F.col("l_quantity"), F.col("edges"), 17).alias("bin"))
 
 
 @query("f15_bin_middle", f"WITH {EDGES} SELECT n_nationkey, round(coalesce((edges[n_nationkey + 1] + edges[n_nationkey + 2]) / 2, 1), 6) AS middle FROM nation, e WHERE dim = 1")
 def f15(t: Tables) -> DataFrame:
-    one = edges(t).filter("dim = 1").select("edges")  # one row
+    one = numeric.quantile_edges(t.lineitem, ["l_quantity"], 16).select("edges")  # one row
     return t.nation.crossJoin(F.broadcast(one)).select("n_nationkey", F.round(numeric.bin_middle(F.col("edges"), F.col("n_nationkey")), 6).alias("middle"))
 
 

@@ -58,16 +58,9 @@ def t8(t: Tables) -> DataFrame:
     return S.concat_and_chunk(deltas(t), ["event_id"], "delta", 96).select("chunk_id", joined(F.col("inputs")).alias("inputs"), joined(F.col("targets")).alias("targets"))
 
 
-@query("t14_text_packing", "WITH b AS (SELECT conv_id, turn, ascii(text[i]) AS code, i FROM conversations, unnest(generate_series(1, 3)) AS g(i) WHERE length(text) >= 3 AND ascii(text[1]) < 128 AND ascii(text[2]) < 128 AND ascii(text[3]) < 128), s AS (SELECT code, row_number() OVER (ORDER BY conv_id, turn, i) - 1 AS g FROM b), n AS (SELECT count(*) AS total FROM b) SELECT g // 32 AS chunk_id, string_agg(code::VARCHAR, ',' ORDER BY g) AS inputs FROM s, n GROUP BY g // 32, total HAVING (g // 32 + 1) * 32 + 1 < total")
+#: Every byte of every turn.
+@query("t14_text_packing", "WITH t AS (SELECT conv_id, turn, hex(encode(text)) AS h FROM conversations), b AS (SELECT conv_id, turn, i, ('0x' || substr(h, 2 * i - 1, 2))::INT AS code FROM t, unnest(generate_series(1, length(h) // 2)) AS g(i)), s AS (SELECT code, row_number() OVER (ORDER BY conv_id, turn, i) - 1 AS g FROM b), n AS (SELECT count(*) AS total FROM b) SELECT g // 32 AS chunk_id, string_agg(code::VARCHAR, ',' ORDER BY g) AS inputs FROM s, n GROUP BY g // 32, total HAVING (g // 32 + 1) * 32 + 1 < total")
 def t14(t: Tables) -> DataFrame:
-    head = F.substring("text", 1, 3)
-    ascii3 = t.conversations.filter((F.length("text") >= 3) & (F.octet_length(head) == 3))
-    return S.concat_and_chunk(ascii3.withColumn("seq", S.code_points(head)), ["conv_id", "turn"], "seq", 32).select("chunk_id", joined(F.col("inputs")).alias("inputs"))
-
-
-#: Every byte of every turn. Its name is new because the twin of t14_text_packing, which holds that query to a prefix of each turn, is fixed.
-@query("t14_text_packing_whole", "WITH t AS (SELECT conv_id, turn, hex(encode(text)) AS h FROM conversations), b AS (SELECT conv_id, turn, i, ('0x' || substr(h, 2 * i - 1, 2))::INT AS code FROM t, unnest(generate_series(1, length(h) // 2)) AS g(i)), s AS (SELECT code, row_number() OVER (ORDER BY conv_id, turn, i) - 1 AS g FROM b), n AS (SELECT count(*) AS total FROM b) SELECT g // 32 AS chunk_id, string_agg(code::VARCHAR, ',' ORDER BY g) AS inputs FROM s, n GROUP BY g // 32, total HAVING (g // 32 + 1) * 32 + 1 < total")
-def t14_whole(t: Tables) -> DataFrame:
     turns = S.with_bytes(t.conversations.select("conv_id", "turn", "text"), "text", "seq")
     return S.concat_and_chunk(turns, ["conv_id", "turn"], "seq", 32).select("chunk_id", joined(F.col("inputs")).alias("inputs"))
 

@@ -1,9 +1,13 @@
 """Queries over sources and sinks: tables are written in a source's format to the shared folder, then read by the operator."""
 
+import numpy as np
+import pandas as pd
+from pyarrow import fs as pafs
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..sources import files, sinks
+from ..operators import quantize
+from ..sources import files, images, sinks
 from .registry import Tables, query
 
 
@@ -135,14 +139,43 @@ def s16(t: Tables) -> DataFrame:
     return t.customer.filter(~F.col("c_nationkey").isin(3, 7)).join(marked, "c_custkey", "left_semi").select("c_custkey")
 
 
-@query("s17_clamped_length", "SELECT o_orderkey, least(o_custkey, 500) AS n FROM orders")
+@query("s17_clamped_length", "WITH a AS (SELECT l_orderkey, l_quantity, row_number() OVER (PARTITION BY l_orderkey ORDER BY l_linenumber, l_quantity) AS i, count(*) OVER (PARTITION BY l_orderkey) AS shape FROM lineitem) SELECT o_orderkey, least(o_custkey % 6 + 1, shape)::BIGINT AS n, l_quantity AS last FROM orders JOIN a ON o_orderkey = l_orderkey AND i = least(o_custkey % 6 + 1, shape)")
 def s17(t: Tables) -> DataFrame:
-    return t.orders.select("o_orderkey", F.least("o_custkey", F.lit(500)).alias("n"))
+    """A point read of an episode's stored array, no further than the array goes, whatever its metadata says."""
+    rows = F.array_sort(F.collect_list(F.struct("l_linenumber", "l_quantity")))
+    arrays = t.lineitem.groupBy(F.col("l_orderkey").alias("o_orderkey")).agg(F.transform(rows, lambda x: x["l_quantity"]).alias("frames"))
+    n = F.least(F.col("o_custkey") % 6 + 1, F.size("frames")).cast("long")
+    return t.orders.join(arrays, "o_orderkey").select("o_orderkey", n.alias("n"), F.element_at("frames", n.cast("int")).alias("last"))
 
 
-@query("s18_dataset_scan", "SELECT lang, count(*) AS n FROM documents GROUP BY lang")
+@query("s18_dataset_scan", "SELECT doc_id, lang, length(text) AS n FROM documents")
 def s18(t: Tables) -> DataFrame:
-    return t.documents.groupBy("lang").agg(F.count("*").alias("n"))
+    """A dataset's rows read as a stream, as they are read at once."""
+    from ..streaming.stateful import run_to_table
+
+    path = sinks.scratch(t.spark, "dataset")
+    t.documents.select("doc_id", "lang", "text").write.json(path)
+    rows = t.spark.readStream.schema("doc_id long, lang string, text string").option("maxFilesPerTrigger", 4).json(path)
+    return run_to_table(rows.select("doc_id", "lang", F.length("text").cast("long").alias("n")), "dataset_stream")
+
+
+@query("s22_image_decode", "SELECT n_nationkey, 6 AS height, 5 AS width, list_sum([(n_nationkey * 7 + p * 3) % 256 FOR p IN generate_series(0, 89)])::BIGINT AS total FROM nation")
+def s22(t: Tables) -> DataFrame:
+    """Images of a folder, written by the tasks that have their rows."""
+    folder = sinks.scratch(t.spark, "images")
+
+    def write(pdf: pd.DataFrame) -> pd.Series:
+        filesystem, at = pafs.FileSystem.from_uri(folder if "://" in folder else f"file://{folder}")
+        filesystem.create_dir(at, recursive=True)
+        for k in pdf["n_nationkey"].tolist():
+            with filesystem.open_output_stream(f"{at}/frame_{k}.png") as out:
+                out.write(images.encode(((k * 7 + np.arange(90) * 3) % 256).astype(np.uint8).reshape(6, 5, 3)))
+        return pdf["n_nationkey"]
+
+    quantize.score_batches(t.nation.select("n_nationkey"), write, "done long").write.format("noop").mode("overwrite").save()
+    found = images.images(t.spark, folder, "*.png")
+    total = F.udf(lambda x: sum(x), "long")  # a checksum of the decoded bytes, to compare with
+    return found.select(F.regexp_extract("path", r"frame_(\d+)", 1).cast("long").alias("n_nationkey"), "height", "width", total("pixels").alias("total"))
 
 
 RESULTS = "r AS (SELECT c_custkey, concat('runs/', c_mktsegment, '/', CASE WHEN c_custkey % 3 = 0 THEN 'success' WHEN c_custkey % 3 = 1 THEN 'failure' ELSE 'open' END, '_obj_', c_custkey, CASE WHEN c_custkey % 11 = 0 THEN '.txt' ELSE '.mp4' END) AS path FROM customer)"
@@ -228,10 +261,11 @@ def k7(t: Tables) -> DataFrame:
     return files.jsonl(t.spark, path, "n_labels long, n_episodes long, first_event long, last_event long")
 
 
-@query("k10_depth_quantized", "SELECT event_id, trunc(value / 100 * 1024)::INT AS depth FROM events WHERE value >= 0 AND value / 100 < 64")
+@query("k10_depth_quantized", "SELECT event_id, CASE WHEN value >= 0 AND value / 100 < 64 THEN trunc(value / 100 * 1024) END::INT AS depth, coalesce(value >= 0 AND value / 100 < 64, false) AS in_range FROM events")
 def k10(t: Tables) -> DataFrame:
     depth = F.col("value") / 100
-    return t.events.filter((depth >= 0) & (depth < 64)).select("event_id", (depth * 1024).cast("int").alias("depth"))
+    in_range = F.coalesce((depth >= 0) & (depth < 64), F.lit(False))
+    return t.events.select("event_id", F.when(in_range, (depth * 1024).cast("int")).alias("depth"), in_range.alias("in_range"))
 
 
 @query("k11_prune_and_renumber", "SELECT l_orderkey, l_linenumber, (row_number() OVER (PARTITION BY l_orderkey ORDER BY l_linenumber) - 1)::INT AS episode FROM lineitem WHERE l_quantity > 10")

@@ -81,7 +81,7 @@ def w11(t: Tables) -> DataFrame:
     return W.temporal_ensemble(said, ["episode"], "frame", "said", 4, 0.1).select("episode", "frame", F.round("ensembled", 6).alias("ensembled"))
 
 
-@query("w12_sticky_action")
+@query("w12_sticky_action", f"WITH RECURSIVE {FRAMES}, m AS (SELECT episode, frame, value / 100 AS move FROM f), s AS (SELECT episode, frame, move, CASE WHEN abs(move) > 0.5 THEN 14 ELSE 0 END AS steps, move AS sticky FROM m WHERE frame = 0 UNION ALL SELECT m.episode, m.frame, m.move, CASE WHEN s.steps > 0 THEN s.steps - 1 WHEN abs(m.move) > 0.5 THEN 14 ELSE 0 END, CASE WHEN s.steps > 0 THEN s.sticky ELSE m.move END FROM s JOIN m ON m.episode = s.episode AND m.frame = s.frame + 1) SELECT episode, frame, move, sticky FROM s")
 def w12(t: Tables) -> DataFrame:
     moves = t.frames.withColumn("move", F.col("value") / 100)
     return W.sticky_action(moves, ["episode"], "frame", "move", 0.5, 15)

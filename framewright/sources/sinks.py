@@ -18,7 +18,10 @@ _made: list[str] = []
 
 def scratch(spark: SparkSession, name: str) -> str:
     """A new path in the folder that the cluster shares, deleted when the driver ends; a local one only where the session names none."""
-    base = (spark.conf.get("spark.checkpoint.dir", None) or "file:///tmp/checkpoints").rstrip("/")
+    base = spark.conf.get("spark.checkpoint.dir", None)
+    if not base and not spark.sparkContext.master.startswith("local"):
+        raise RuntimeError("spark.checkpoint.dir must name a folder that driver and executors share")
+    base = (base or "file:///tmp/checkpoints").rstrip("/")
     _made.append(path := f"{base}/{name}-{uuid.uuid4().hex[:12]}")
     return path
 
@@ -32,17 +35,29 @@ def _clean() -> None:
 
 
 def publish(df: DataFrame, path: str, audit: Callable[[DataFrame], None], fmt: str = "json") -> None:
-    """Writes beside the target, audits what was written, then moves it there at once; a failure leaves the target alone."""
+    """Writes beside the target, audits what was written, then moves it there; a failure leaves the target alone.
+
+    The old target is moved aside, and back if the new one can't take its place; a crash in between leaves both
+    whole, beside each other.
+    """
     spark = df.sparkSession
     jvm = spark.sparkContext._jvm
-    staged, target = jvm.org.apache.hadoop.fs.Path(f"{path}.staging"), jvm.org.apache.hadoop.fs.Path(path)
+    staged, target, aside = (jvm.org.apache.hadoop.fs.Path(path + end) for end in (".staging", "", ".old"))
     fs = target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
     try:
         df.write.mode("overwrite").format(fmt).save(f"{path}.staging")
         audit(spark.read.format(fmt).schema(df.schema).load(f"{path}.staging"))
-        fs.delete(target, True)
+        if fs.exists(aside) and not fs.exists(target):  # left by a crash between the two moves
+            fs.rename(aside, target)
+        fs.delete(aside, True)
+        had = fs.exists(target)
+        if had and not fs.rename(target, aside):
+            raise OSError(f"could not move {path} aside")
         if not fs.rename(staged, target):
+            if had:
+                fs.rename(aside, target)
             raise OSError(f"could not publish {path}")
+        fs.delete(aside, True)
     finally:
         fs.delete(staged, True)
 

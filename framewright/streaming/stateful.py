@@ -8,6 +8,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
+from ..operators.windows import held_moves
 from ..sources.sinks import scratch
 
 
@@ -42,20 +43,13 @@ def stream_pairs(spark: SparkSession, source: str, offset: int) -> DataFrame:
 
 
 def sticky_stream(stream: DataFrame, trigger: float = 0.5, hold: int = 15) -> DataFrame:
-    """(episode, t, sticky): the sticky action as a state machine; the state is whether it holds, for how long, and what."""
+    """(episode, t, sticky): the sticky action; the state is what is left of a span that a batch has begun, and its move."""
 
     def step(key: tuple, batches: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
-        on, count, kept = state.get if state.exists else (False, 0, 0.0)
-        out = []
-        for t, v in sorted((t, v) for pdf in batches for t, v in zip(pdf["t"].tolist(), pdf["move"].tolist(), strict=True)):
-            if abs(v) > trigger and not on:
-                on, kept = True, v
-            if on:
-                count, v = count + 1, kept
-                if count == hold:
-                    on, count, kept = False, 0, 0.0
-            out.append((key[0], t, v))
-        state.update((on, count, kept))
-        yield pd.DataFrame(out, columns=["episode", "t", "sticky"])
-
-    return stream.groupBy("episode").applyInPandasWithState(step, "episode long, t long, sticky double", "is_on boolean, n int, kept double", "append", GroupStateTimeout.NoTimeout)
+        left, kept = state.get if state.exists else (0, 0.0)
+        moves = pd.concat([*batches]).sort_values("t")
+        held, left, kept = held_moves(moves["move"].to_numpy(float), trigger, hold, left, kept)
+        state.update((left, kept))
+        yield pd.DataFrame({"episode": key[0], "t": moves["t"].to_numpy(), "sticky": held})
+
+    return stream.groupBy("episode").applyInPandasWithState(step, "episode long, t long, sticky double", "steps int, kept double", "append", GroupStateTimeout.NoTimeout)

@@ -2,15 +2,16 @@
 
 import math
 
+import numpy as np
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
 from framewright.functions import arrays, numeric, text
-from framewright.operators import aggregates, audits, joins, sequences, windows
+from framewright.operators import aggregates, audits, joins, quantize, sequences, windows
 from framewright.plans import registry
-from framewright.sources import files, sinks
+from framewright.sources import files, images, sinks
 from framewright.streaming import stateful
 
 
@@ -105,7 +106,7 @@ def test_text_packing_takes_every_byte(spark, tmp_path):
     spark.createDataFrame(rows, "conv_id long, turn int, text string").write.parquet(f"{tmp_path}/conversations.parquet")
     stream = b"".join((text or "").encode() for _, _, text in rows)
     want = [",".join(map(str, stream[i : i + 32])) for i in range(0, len(stream), 32) if i + 33 < len(stream)]
-    got = registry.QUERIES["t14_text_packing_whole"](spark, str(tmp_path)).orderBy("chunk_id").collect()
+    got = registry.QUERIES["t14_text_packing"](spark, str(tmp_path)).orderBy("chunk_id").collect()
     assert [(r.chunk_id, r.inputs) for r in got] == [*enumerate(want)]
 
 
@@ -113,11 +114,11 @@ def test_rotations_of_all_angles(spark, tmp_path):
     values = [0.0, 150.0, 250.0, 310.0, 320.0, 560.0, 700.0, -100.0, -400.0]
     spark.createDataFrame([*enumerate(values)], "event_id long, value double").write.parquet(f"{tmp_path}/events.parquet")
     turn = [math.remainder(v / 100, 2 * math.pi) for v in values]
-    got = {q: registry.QUERIES[q](spark, str(tmp_path)).orderBy("event_id").collect() for q in ("f18_quaternion_whole", "f22_euler_to_axis_angle_whole")}
+    got = {q: registry.QUERIES[q](spark, str(tmp_path)).orderBy("event_id").collect() for q in ("f18_quaternion", "f22_euler_to_axis_angle")}
     for found in got.values():
         assert [r.angle for r in found] == pytest.approx([abs(a) for a in turn], abs=1e-6)
-    assert all(r.ok for r in got["f18_quaternion_whole"])
-    assert [r.z for r in got["f22_euler_to_axis_angle_whole"]] == [(a > 0) - (a < 0) for a in turn]
+    assert all(r.ok for r in got["f18_quaternion"])
+    assert [r.z for r in got["f22_euler_to_axis_angle"]] == [(a > 0) - (a < 0) for a in turn]
 
 
 def test_pearson_is_one_for_identical_vectors(spark):
@@ -189,7 +190,7 @@ def test_sticky_stream_equals_batch(spark, tmp_path):
         spark.createDataFrame([(1, 3 * half + i, m) for i, m in enumerate(part)], "episode long, t long, move double").coalesce(1).write.mode("append").json(f"{tmp_path}/in")
     stream = spark.readStream.schema("episode long, t long, move double").option("maxFilesPerTrigger", 1).json(f"{tmp_path}/in")
     got = [v for _, v in rows(stateful.run_to_table(stateful.sticky_stream(stream, 0.5, 3), "sticky"), "t", "sticky")]
-    assert got == windows.sticky(moves, 0.5, 3)
+    assert got == windows.held_moves(np.array(moves), 0.5, 3)[0].tolist()
 
 
 def test_empty_tables(spark):
@@ -197,3 +198,96 @@ def test_empty_tables(spark):
     assert windows.future_frame(none, ["episode"], 3).count() == 0
     assert windows.greedy_chunks(none, ["episode"], "frame", 3).count() == 0
     assert aggregates.code_histogram(spark.createDataFrame([], "c array<int>"), "c", 8).filter("n = 0").count() == 8
+
+
+def test_held_moves_equal_a_step_by_step_rule():
+    rng = np.random.default_rng(3)
+    for hold in (1, 3, 15):
+        for n in (0, 1, 7, 60):
+            moves = np.round(rng.normal(0, 0.6, n), 2)
+            want, until, at_trigger = [], -1, 0.0
+            for i, v in enumerate(moves.tolist()):
+                if i > until and abs(v) > 0.5:
+                    until, at_trigger = i + hold - 1, v
+                want.append(at_trigger if i <= until else v)
+            assert windows.held_moves(moves, 0.5, hold)[0].tolist() == want
+            out, left, kept = [], 0, 0.0
+            for part in np.array_split(moves, 4):
+                x, left, kept = windows.held_moves(part, 0.5, hold, left, kept)
+                out += x.tolist()
+            assert out == want
+
+
+def test_many_ties_are_no_overflow(spark):
+    df = spark.range(3_000_000).selectExpr("1 AS k", "id % 2 AS g", "CASE WHEN id < 10 THEN 1 ELSE 0 END AS v")
+    row = aggregates.kruskal(df, ["k"], "g", "v").first()
+    assert row.h == pytest.approx(0, abs=1e-6)
+    assert row.p_value == pytest.approx(1, abs=1e-3)
+
+
+def test_publish_keeps_one_whole_target(spark, tmp_path):
+    path = str(tmp_path / "out")
+    sinks.publish(spark.range(3), path, lambda df: None)
+    sinks.publish(spark.range(5), path, lambda df: None)
+    assert spark.read.json(path).count() == 5
+
+    def fails(df):
+        raise ValueError
+
+    with pytest.raises(ValueError):
+        sinks.publish(spark.range(9), path, fails)
+    assert spark.read.json(path).count() == 5
+    (tmp_path / "out").rename(tmp_path / "out.old")  # as a crash between the moves leaves it
+    with pytest.raises(ValueError):
+        sinks.publish(spark.range(9), path, fails)
+    sinks.publish(spark.range(7), path, lambda df: None)
+    assert spark.read.json(path).count() == 7
+    assert sorted(x.name for x in tmp_path.iterdir()) == ["out"]
+
+
+def test_cardinality_gate(spark):
+    rows = spark.createDataFrame([(1,), (1,), (2,)], "e long")
+    for expected, passes in (((3, 2), True), ((4, 2), False), ((3, 3), False)):
+        gate = audits.cardinality(rows, "e", spark.createDataFrame([expected], "expected_rows long, expected_episodes long"))
+        assert gate.first().passes == passes
+        if passes:
+            assert audits.require(gate).first().passes
+        else:
+            with pytest.raises(Exception, match="expected"):
+                audits.require(gate).collect()
+
+
+def test_nearest_code_over_blocks(spark, monkeypatch):
+    rng = np.random.default_rng(2)
+    book, x = rng.normal(size=(30, 4)).round(2), rng.normal(size=(50, 4)).round(2)
+    codes = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(book)], "code long, entry array<double>")
+    vectors = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(x)], "i long, v array<double>")
+    want = ((x[:, None] - book) ** 2).sum(-1).argmin(1).tolist()
+    for block in (4096, 7):
+        monkeypatch.setattr(quantize, "BLOCK", block)
+        assert [r.nearest for r in quantize.nearest_code(vectors, codes, "v", "code", "entry").orderBy("i").collect()] == want
+    assert quantize.nearest_code(vectors, codes.limit(0), "v", "code", "entry").filter("nearest IS NOT NULL").count() == 0
+
+
+def test_images_round_trip(spark, tmp_path):
+    rng = np.random.default_rng(5)
+    for channels in (1, 3, 4):
+        pixels = rng.integers(0, 256, (7, 9, channels), dtype=np.uint8)
+        assert (images.decode(images.encode(pixels)) == pixels).all()
+    gray = rng.integers(0, 256, (4, 6, 1), dtype=np.uint8)
+    assert (images.decode(b"P5\n6 4\n255\n" + gray.tobytes()) == gray).all()
+    # each filter of the format undoes what its definition does
+    above, row = rng.integers(0, 256, 12, dtype=np.uint8), rng.integers(0, 256, 12, dtype=np.uint8)
+    for kind in range(5):
+        coded = []
+        for i in range(12):
+            left, up, corner = (int(row[i - 3]) if i > 2 else 0), int(above[i]), (int(above[i - 3]) if i > 2 else 0)
+            nearest = sorted((abs(left + up - corner - x), k, x) for k, x in enumerate((left, up, corner)))[0][2]
+            coded.append((int(row[i]) - (0, left, up, (left + up) // 2, nearest)[kind]) & 255)
+        assert images._unfiltered(np.array(coded, np.uint8), kind, above, 3).tolist() == row.tolist()
+    (tmp_path / "a.png").write_bytes(images.encode(pixels))
+    (tmp_path / "b.png").write_bytes(b"no image")
+    got = {r.path[-5:]: r for r in images.images(spark, f"file://{tmp_path}").collect()}
+    assert (got["a.png"].height, got["a.png"].width, bytes(got["a.png"].pixels)) == (7, 9, pixels.tobytes())
+    assert got["b.png"].error
+    assert got["b.png"].pixels is None
