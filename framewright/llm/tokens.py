@@ -23,6 +23,8 @@ CALL = 512
 # stands before it, so the ids of a text are those of the chunks between such places.
 _CUT = re.compile(r"(?= \S)")
 _ODD = r" (?:\s|$)"
+#: Marks that are a piece of their own after a word.
+_STOPS = frozenset(".,;:!?")
 #: Fixed value: the pattern that byte-level BPE cuts text with.
 _PIECE = regex.compile(r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+")
 
@@ -45,8 +47,7 @@ class ChunkEncoder:
         from tokenizers import Tokenizer, pre_tokenizers
 
         self.whole = Tokenizer.from_file(path)
-        added = [t.content for t in self.whole.get_added_tokens_decoder().values()]
-        self.special = re.compile("|".join(map(re.escape, added)), re.IGNORECASE) if added else None
+        self.special = [t.content for t in self.whole.get_added_tokens_decoder().values()]
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.encode_special_tokens = True  # its input is pieces
         # pieces are cut and spelt in the byte alphabet here, each once; in it, a line feed is no letter
@@ -72,7 +73,7 @@ class ChunkEncoder:
                 at = end
 
     def _learn(self, chunks: list[str]) -> None:
-        cut = {c: _PIECE.findall(c) for c in chunks if not (c[0] == " " and c[1:].isalpha())}
+        cut = {c: (c[:-1], c[-1]) if c[-1] in _STOPS and c[0] == " " and c[1:-1].isalpha() else _PIECE.findall(c) for c in chunks if not (c[0] == " " and c[1:].isalpha())}
         cache = self.cache
         self._learn_pieces([*{p for p in (*(c for c in chunks if c not in cut), *(p for ps in cut.values() for p in ps)) if p not in cache}])
         for c, ps in cut.items():
@@ -80,12 +81,13 @@ class ChunkEncoder:
 
     def __call__(self, texts: list[str]) -> list[np.ndarray]:
         """The ids of each text, as views of one array."""
-        if self.special and (own := {i for i, t in enumerate(texts) if self.special.search(t)}):
+        column = pa.array(texts, pa.large_string())
+        own = {i for x in self.special for i in np.flatnonzero(pc.match_substring(column, x).to_numpy(zero_copy_only=False)).tolist()}
+        if own:
             out = self(["" if i in own else t for i, t in enumerate(texts)])
             for i in own:
                 out[i] = np.array(self.whole.encode(texts[i], add_special_tokens=False).ids, self.dtype)
             return out
-        column = pa.array(texts, pa.large_string())
         odd = np.flatnonzero(pc.match_substring_regex(column, _ODD).to_numpy(zero_copy_only=False))
         split = pc.split_pattern(column, " ")
         offsets = split.offsets.to_numpy()

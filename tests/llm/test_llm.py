@@ -67,7 +67,7 @@ def table(df, key="doc_id"):
 
 def test_chunks_encode_like_the_library(plain):
     rng, encode = random.Random(3), tokens.encoder()
-    parts = [" ", "  ", "\n", " \n", "a", "b1", "é", " ", "\t", "!", "***", "'s", "   ", "\x85", "0", "\x00", "日", "\x1c", "<|endoftext|>", "　", "ⅷ"]
+    parts = [" ", "  ", "\n", " \n", "a", "b1", "é", " ", "\t", "!", "***", "'s", "   ", "\x85", "0", "\x00", "日", "\x1c", "<|endoftext|>", "　", "ⅷ", "wörd", ", ", "; ", " x."]
     for _ in range(400):
         some = ["".join(rng.choice(parts) for _ in range(rng.randint(0, 14))) for _ in range(5)]
         assert [x.tolist() for x in encode(some)] == [plain(t) for t in some]
