@@ -278,15 +278,16 @@ class Shard:
             spans[d] = [{"first": a, "end": b} for a, b in zip(np.flatnonzero(edge == 1).tolist(), np.flatnonzero(edge == -1).tolist(), strict=True)]
         return Hits(n_hit, [found.get(d, set()) for d in range(len(self.size))], spans)
 
-    def left(self, d: int, spans: list[Span]) -> bytes:
-        """The words of a document outside the spans, joined by spaces."""
-        own = np.ones(self.size[d], bool)
-        for s in spans:
-            own[s["first"] : s["end"]] = False
-        codes = self.codes[self.start[d] : self.start[d] + self.size[d]][own] - len(self.size)
-        return b" ".join(self.words.take(pa.array(codes)).to_pylist())
-
-
+    def left(self, spans: list[list[Span]]) -> list[bytes]:
+        """The words of each document outside its spans, joined by spaces."""
+        own = np.ones(len(self.codes), bool)
+        own[self.start + self.size] = False
+        for d, of in enumerate(spans):
+            for s in of:
+                own[self.start[d] + s["first"] : self.start[d] + s["end"]] = False
+        words = self.words.take(pa.array(self.codes[own] - len(self.size))).to_pylist()
+        end = np.cumsum(own)[self.start + self.size].tolist()
+        return [b" ".join(words[i:j]) for i, j in zip([0, *end], end, strict=False)]
 
 
 def _blocks(spark: SparkSession, benchmark: DataFrame, item_id: str, item_text: str) -> list[str]:
@@ -344,7 +345,7 @@ def search_index(spark: SparkSession, manifest: DataFrame, benchmark: DataFrame,
                     pa.array([hashlib.sha256(x.encode()).hexdigest() for x in names]),
                     pa.array(found.contaminated(shard.size, part)),
                     pa.array(found.spans, pa.list_(pa.struct([("first", pa.int32()), ("end", pa.int32())]))),
-                    pa.array([hashlib.sha256(shard.left(d, s)).hexdigest() for d, s in enumerate(found.spans)]),
+                    pa.array([hashlib.sha256(x).hexdigest() for x in shard.left(found.spans)]),
                 ],
                 [f.split()[0] for f in RESULT.split(", ")],
             )
