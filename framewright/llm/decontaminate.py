@@ -46,7 +46,7 @@ def words_of(text: bytes) -> list[bytes]:
 def suffix_array(s: np.ndarray) -> np.ndarray:
     """Order of the suffixes of s, by doubling of sorted prefixes; suffixes that are in place are left alone."""
     n = len(s)
-    order = np.argsort(s, kind="stable")
+    order = np.argsort(s)
     key, at, rank, k = s[order], np.arange(n), np.empty(n, np.int64), 1
     while len(at):
         new = np.concatenate([[True], key[1:] != key[:-1]])
@@ -57,7 +57,7 @@ def suffix_array(s: np.ndarray) -> np.ndarray:
         second = rank[np.minimum(i + k, n - 1)] + 1
         second[i + k >= n] = 0
         key = rank[i] * (n + 1) + second
-        by = np.argsort(key, kind="stable")
+        by = np.argsort(key)
         order[at], key = i[by], key[by]
         k *= 2
     return order
@@ -69,21 +69,21 @@ Span = dict[str, int]
 class Bits:
     """A row of bits with the number of ones before each place."""
 
-    def __init__(self, words: np.ndarray, before: np.ndarray) -> None:
-        self.words, self.before = words, before
+    def __init__(self, words: np.ndarray) -> None:
+        ones = np.bitwise_count(words)
+        self.words, self.before = words, np.cumsum(ones) - ones
 
     @classmethod
     def of(cls, bit: np.ndarray) -> Bits:
         raw = np.packbits(bit, bitorder="little")
         words = np.zeros(len(bit) // 64 + 1, "<u8")
         words.view(np.uint8)[: len(raw)] = raw
-        ones = np.bitwise_count(words)
-        return cls(words, (np.cumsum(ones) - ones).astype(np.uint32))
+        return cls(words)
 
     def rank(self, i: np.ndarray) -> np.ndarray:
         """Ones before place i."""
         w = i >> 6
-        return self.before[w] + np.bitwise_count(self.words[w] & ((np.uint64(1) << (i & 63).astype(np.uint64)) - np.uint64(1))).astype(np.int64)
+        return self.before[w].astype(np.int64) + np.bitwise_count(self.words[w] & ((np.uint64(1) << (i & 63).astype(np.uint64)) - np.uint64(1))).astype(np.int64)
 
     def get(self, i: np.ndarray) -> np.ndarray:
         return (self.words[i >> 6] >> (i & 63).astype(np.uint64) & np.uint64(1)).astype(bool)
@@ -136,16 +136,16 @@ class FMIndex:
         order = suffix_array(s)
         number = np.bincount(s)
         kept = order % SAMPLE == 0
-        return cls(len(s), np.concatenate([[0], np.cumsum(number)]), WaveletMatrix.of(s[order - 1], max(1, (len(number) - 1).bit_length())), Bits.of(kept), order[kept].astype(np.uint32))
+        return cls(len(s), np.concatenate([[0], np.cumsum(number)]), WaveletMatrix.of(s[order - 1].astype(np.int32), max(1, (len(number) - 1).bit_length())), Bits.of(kept), order[kept].astype(np.uint32))
 
     def arrays(self) -> dict[str, np.ndarray]:
-        levels = {f"{name}{k}": x for k, level in enumerate(self.bwt.levels) for name, x in (("words", level.words), ("before", level.before))}
-        return levels | {"n": np.array(self.n), "less": self.less, "zeros": self.bwt.zeros, "kept": self.kept.words, "kept_before": self.kept.before, "places": self.places}
+        levels = {f"words{k}": level.words for k, level in enumerate(self.bwt.levels)}
+        return levels | {"n": np.array(self.n), "less": self.less, "zeros": self.bwt.zeros, "kept": self.kept.words, "places": self.places}
 
     @classmethod
     def from_arrays(cls, a: dict[str, np.ndarray]) -> FMIndex:
-        levels = [Bits(a[f"words{k}"], a[f"before{k}"]) for k in range(len(a["zeros"]))]
-        return cls(int(a["n"]), a["less"], WaveletMatrix(levels, a["zeros"]), Bits(a["kept"], a["kept_before"]), a["places"])
+        levels = [Bits(a[f"words{k}"]) for k in range(len(a["zeros"]))]
+        return cls(int(a["n"]), a["less"], WaveletMatrix(levels, a["zeros"]), Bits(a["kept"]), a["places"])
 
     def search(self, phrases: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Rows of the suffix array that begin with each phrase (of one width): first, end."""
