@@ -125,9 +125,9 @@ def inverse_transform_point(matrix: Column, p: Column) -> Column:
 
 
 def chordal_angle(p: Column, g: Column) -> Column:
-    """asin(|P - G| / (2 sqrt 2)) of two rotation matrices given as flat arrays."""
-    d = F.zip_with(p, g, lambda a, b: a - b)
-    return F.asin(F.least(norm(d) / F.lit(2 * 2**0.5), F.lit(1.0)))
+    """asin(|P - G| / (2 sqrt 2)) of two rotation matrices given as flat arrays: half the angle between them, pi / 2 at most."""
+    x = norm(F.zip_with(p, g, lambda a, b: a - b)) / F.lit(2 * 2**0.5)
+    return F.asin(F.when(F.isnan(x), x).otherwise(F.least(x, F.lit(1.0))))  # least alone makes 1 of NaN
 
 
 def euler_to_axis_angle(roll: Column, pitch: Column, yaw: Column) -> Column:

@@ -2,6 +2,7 @@
 
 import math
 
+import duckdb
 import numpy as np
 import pytest
 from hypothesis import given, settings
@@ -121,6 +122,25 @@ def test_rotations_of_all_angles(spark, tmp_path):
     assert [r.z for r in got["f22_euler_to_axis_angle"]] == [(a > 0) - (a < 0) for a in turn]
 
 
+def test_turns_of_more_than_a_chord_shows(spark, tmp_path):
+    values = [0.0, 300.0, 628.31, 628.32, 700.0, 1256.64, 1300.0, 99999.99, math.inf, math.nan, -700.0, None]
+    spark.createDataFrame([*enumerate(values)], "event_id long, value double").write.parquet(f"{tmp_path}/events.parquet")
+    got = registry.QUERIES["f21_chordal_angle"](spark, str(tmp_path)).orderBy("event_id").collect()
+    with duckdb.connect() as c:
+        c.execute(f"CREATE VIEW events AS SELECT * FROM '{tmp_path}/events.parquet/*.parquet'")
+        want = c.execute(registry.ORACLES["f21_chordal_angle"] + " ORDER BY event_id").fetchall()
+    assert [r.event_id for r in got] == [k for k, _ in want] == list(range(10))
+    assert [r.angle for r in got] == pytest.approx([x for _, x in want], abs=1e-9, nan_ok=True)
+
+
+def test_chordal_angle_of_half_a_turn_and_of_no_number(spark):
+    turn = lambda *v: F.array(*(F.lit(float(x)) for x in v))
+    same = turn(1, 0, 0, 0, 1, 0, 0, 0, 1)
+    got = spark.range(1).select(numeric.chordal_angle(turn(-1, 0, 0, 0, -1, 0, 0, 0, 1), same), numeric.chordal_angle(turn(math.nan, 0, 0, 0, 1, 0, 0, 0, 1), same)).first()
+    assert got[0] == pytest.approx(math.pi / 2)
+    assert math.isnan(got[1])
+
+
 def test_pearson_is_one_for_identical_vectors(spark):
     df = spark.createDataFrame([("t", 0.5, 0.5), ("t", 0.5, 0.5)], "task string, s double, r double")
     assert aggregates.pearson(df, ["task"], "s", "r").first()["pearson"] == 1
